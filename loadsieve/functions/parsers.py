@@ -27,119 +27,155 @@ BOOL_NULL_WORDS = ("<na>", "nan", "")
 
 _TIME = "(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
 DAY_FIRST = rf"^([0-9]{{1,2}})[/-]([0-9]{{1,2}})[/-]([0-9]{{4}})( {_TIME})?$"
-YEAR_FIRST = rf"^([0-9]{{4}})-([0-9]{{1,2}})-([0-9]{{1,2}})( {_TIME})?$"
-MONTH_TEXT = rf"^({'|'.join(MONTHS)})[/-]?([0-9]{{2}}|[0-9]{{4}})$"
+# year 0 is no calendar year, although Spark would accept it
+YEAR_FIRST = rf"^((?!0000)[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})( {_TIME})?$"
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITE = r"^[+-]?(inf|infinity)$"
+NUMBER_OR_INFINITE = rf"{NUMBER}|^[+-]?(?i:inf|infinity)$"
 
 _DIGITS = "[0-9](?:_?[0-9])*"
 _GROUPED_NUMBER = rf"^[+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?$"
+_NAMES = "|".join(MONTHS)
 
+# The functions named *_of take trimmed text, and mention it as rarely as they can: an expression
+# that is repeated is planned, generated and, behind a condition, evaluated as often. A pattern
+# that does not match extracts the empty text, which try_cast turns into null.
 
-def _calendar_text(t: Column) -> Column:
-    """Year-month-day text (plus the time, if any) of the accepted calendar shapes."""
-    return F.when(t.rlike(DAY_FIRST), F.regexp_replace(t, DAY_FIRST, "$3-$2-$1$4")).when(t.rlike(YEAR_FIRST), t)
 
+def _year_first(t: Column) -> Column:
+    """Calendar text with its parts in the order year, month, day."""
+    return F.regexp_replace(t, DAY_FIRST, "$3-$2-$1$4")
 
-def _existing_year(text: Column) -> Column:
-    """Year 0 is no calendar year, although Spark would accept it."""
-    return F.when(~text.startswith("0000"), text)
 
+def calendar_date_of(t: Column) -> Column:
+    return F.regexp_extract(_year_first(t), YEAR_FIRST, 1).try_cast("date")
 
-def _serial(t: Column) -> Column:
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
+def calendar_stamp_of(t: Column) -> Column:
+    return F.regexp_extract(_year_first(t), YEAR_FIRST, 0).try_cast("timestamp_ntz")
 
-def _serial_date(n: Column, last: int) -> Column:
+
+def serial_of(t: Column) -> Column:
+    return F.regexp_extract(t, NUMBER, 0).try_cast("double")
+
+
+def _serial_day(n: Column, last: int) -> Column:
     return F.when(n.between(1, last), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(n).cast("int")))
 
 
+def serial_date_of(t: Column, last: int = SERIAL_MAX) -> Column:
+    return _serial_day(serial_of(t), last)
+
+
+def serial_stamp_of(t: Column) -> Column:
+    n = serial_of(t)
+    day = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(n).cast("int")).cast("timestamp_ntz")
+    seconds = F.round((n - F.floor(n)) * 86400).cast("int")
+    return F.when(n.between(1, SERIAL_MAX), F.timestamp_add("SECOND", seconds, day))
+
+
+def month_date_of(t: Column) -> Column:
+    # two digits, or four of which the first two are zeros, mean 2000 and later
+    full = F.regexp_replace(F.lower(t), rf"^({_NAMES})[/-]?(?:00)?([0-9]{{2}})$", "$1-20$2")
+    shape = rf"^({_NAMES})[/-]?([0-9]{{4}})$"
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(full, shape, 1))
+    return F.concat_ws("-", F.regexp_extract(full, shape, 2), month.cast("string"), F.lit("1")).try_cast("date")
+
+
+def date_of(t: Column) -> Column:
+    return F.coalesce(calendar_date_of(t), serial_date_of(t))
+
+
+def period_of(t: Column) -> Column:
+    return F.coalesce(calendar_date_of(t), month_date_of(t), serial_date_of(t))
+
+
+def timestamp_of(t: Column) -> Column:
+    return F.coalesce(calendar_stamp_of(t), serial_stamp_of(t))
+
+
+def unbounded_date_of(t: Column) -> Column:
+    number = F.regexp_extract(F.replace(t, F.lit(","), F.lit(".")), _GROUPED_NUMBER, 0)
+    serial = F.replace(number, F.lit("_"), F.lit("")).try_cast("double")
+    ordered = F.regexp_replace(t, "^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})$", "$3-$2-$1")
+    shape = r"^((?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(\s+[0-9]{2}:[0-9]{2}:[0-9]{2})?$"
+    return F.coalesce(
+        _serial_day(serial, SERIAL_MAX_UNBOUNDED), F.regexp_extract(ordered, shape, 1).try_cast("date")
+    )
+
+
+def number_text_of(t: Column) -> Column:
+    """European or plain number text brought to the plain form; not yet checked."""
+    # a comma is always the decimal sign, and then every dot is a thousands sign
+    plain = F.when(t.contains(","), F.translate(t, ",.", ".")).otherwise(t)
+    bare = F.regexp_replace(plain, "^np[.]float64[(](.+)[)]$", "$1")
+    bare = F.regexp_replace(bare, "^np[.]int64[(](.+)[)]$", "$1")
+    return F.when(t.startswith("np."), bare).otherwise(plain)
+
+
+def number_of(t: Column) -> Column:
+    return F.regexp_extract(number_text_of(t), NUMBER_OR_INFINITE, 0).try_cast("double")
+
+
+def plain_number_of(t: Column) -> Column:
+    return F.regexp_extract(t, NUMBER_OR_INFINITE, 0).try_cast("double")
+
+
+def decimal_of(t: Column, precision: int, scale: int) -> Column:
+    return F.regexp_extract(number_text_of(t), NUMBER, 0).try_cast(f"decimal({precision},{scale})")
+
+
+def bool_of(t: Column) -> Column:
+    low = F.lower(t)
+    return F.when(low.isin(*TRUE_WORDS), F.lit(True)).when(low.isin(*FALSE_WORDS), F.lit(False))
+
+
 def parse_date_dayfirst(c: Column) -> Column:
     """d/M/yyyy, d-M-yyyy or yyyy-M-d, each with an optional time that is dropped."""
-    text = F.substring_index(_calendar_text(strip(c)), " ", 1)
-    return _existing_year(text).try_cast("date")
+    return calendar_date_of(strip(c))
 
 
-def parse_serial_date(c: Column, last: int = SERIAL_MAX) -> Column:
+def parse_serial_date(c: Column) -> Column:
     """Spreadsheet serial day number; a fraction is time of day and is dropped."""
-    return _serial_date(_serial(strip(c)), last)
+    return serial_date_of(strip(c))
 
 
 def parse_date(c: Column) -> Column:
     """Calendar text, else serial number."""
-    return F.coalesce(parse_date_dayfirst(c), parse_serial_date(c))
-
-
-def parse_month_text(c: Column) -> Column:
-    """Month name and year, such as ene-24; two digits mean 2000 and later."""
-    t = F.lower(strip(c))
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(t, MONTH_TEXT, 1))
-    year = F.regexp_extract(t, MONTH_TEXT, 2).cast("int")
-    year = F.when(year < 100, year + 2000).otherwise(year)
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), F.lit("1"))
-    return F.when(t.rlike(MONTH_TEXT), text.try_cast("date"))
+    return date_of(strip(c))
 
 
 def parse_period(c: Column) -> Column:
-    """Calendar text, else month text, else serial number."""
-    return F.coalesce(parse_date_dayfirst(c), parse_month_text(c), parse_serial_date(c))
+    """Calendar text, else month text such as ene-24, else serial number."""
+    return period_of(strip(c))
 
 
 def parse_date_unbounded(c: Column) -> Column:
     """Serial number first (any year to 9999, decimal comma allowed), else calendar text."""
-    t = strip(c)
-    number = F.replace(t, F.lit(","), F.lit("."))
-    serial = F.when(number.rlike(_GROUPED_NUMBER), F.replace(number, F.lit("_"), F.lit("")).try_cast("double"))
-    text = (
-        F.when(t.rlike(DAY_FIRST) & ~t.contains(" "), F.regexp_replace(t, DAY_FIRST, "$3-$2-$1"))
-        .when(t.rlike(rf"^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}(\s+[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})?$"), F.regexp_replace(t, r"\s.*$", ""))
-    )
-    return F.coalesce(_serial_date(serial, SERIAL_MAX_UNBOUNDED), _existing_year(text).try_cast("date"))
+    return unbounded_date_of(strip(c))
 
 
 def parse_timestamp(c: Column) -> Column:
     """Calendar text with its time of day, else serial number with its fraction of a day."""
-    t = strip(c)
-    n = _serial(t)
-    day = _serial_date(n, SERIAL_MAX).cast("timestamp_ntz")
-    seconds = F.round((n - F.floor(n)) * 86400).cast("int")
-    serial = F.when(n.between(1, SERIAL_MAX), F.timestamp_add("SECOND", seconds, day))
-    return F.coalesce(_existing_year(_calendar_text(t)).try_cast("timestamp_ntz"), serial)
+    return timestamp_of(strip(c))
 
 
-def plain_number_text(c: Column) -> Column:
-    """European or plain number text brought to the plain form; not yet checked."""
-    t = strip(c)
-    # a comma is always the decimal sign, and then every dot is a thousands sign
-    t = F.when(t.contains(","), F.translate(t, ",.", ".")).otherwise(t)
-    for kind in ("float64", "int64"):
-        t = F.when(t.startswith(f"np.{kind}("), F.regexp_replace(t, rf"^np[.]{kind}[(](.+)[)]$", "$1")).otherwise(t)
-    return t
-
-
-def _checked_number(t: Column) -> Column:
-    infinite = F.when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(t.rlike(NUMBER), t.try_cast("double")).when(F.lower(t).rlike(INFINITE), infinite)
+def parse_number(c: Column) -> Column:
+    """European or plain number; infinity is read, and stored as null later."""
+    return number_of(strip(c))
 
 
-def parse_number(c: Column) -> Column:
-    return _checked_number(plain_number_text(c))
+def parse_number_v1(c: Column) -> Column:
+    """Plain numbers only: the fixed-schema loader leaves text with a comma unparsed."""
+    return plain_number_of(strip(c))
 
 
 def parse_decimal(c: Column, precision: int, scale: int) -> Column:
     """Exact number for targets that ask for it."""
-    t = plain_number_text(c)
-    return F.when(t.rlike(NUMBER), t.try_cast(f"decimal({precision},{scale})"))
-
-
-def parse_number_v1(c: Column) -> Column:
-    """Plain numbers only: the fixed-schema loader leaves text with a comma unparsed."""
-    return _checked_number(strip(c))
+    return decimal_of(strip(c), precision, scale)
 
 
 def parse_bool(c: Column) -> Column:
-    t = F.lower(strip(c))
-    return F.when(t.isin(*TRUE_WORDS), F.lit(True)).when(t.isin(*FALSE_WORDS), F.lit(False))
+    return bool_of(strip(c))
 
 
 def bool_has_text(c: Column) -> Column:

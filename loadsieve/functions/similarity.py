@@ -6,19 +6,24 @@ keys. Candidates are dropped early by exact upper bounds of the ratio, never by
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from difflib import SequenceMatcher
-from functools import lru_cache
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+# executors get the functions of this module with the plan; the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: lowest ratio at which a header is taken for a target column.
 DEFAULT_THRESHOLD = 0.78
 
-BEST_TYPE = "struct<position:int,ratio:double>"
+BEST_TYPE = T.StructType().add("position", T.IntegerType()).add("ratio", T.DoubleType())
 
 
 def length_bound(a: Column, b: Column) -> Column:
@@ -27,29 +32,23 @@ def length_bound(a: Column, b: Column) -> Column:
     return F.when(la + lb == 0, F.lit(1.0)).otherwise(F.least(la, lb) * 2.0 / (la + lb))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
-    matcher = SequenceMatcher()
     for x, y in zip(a, b):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        matcher.set_seq2(y)
-        matcher.set_seq1(x)
-        out.append(matcher.ratio())
+        known = x is not None and y is not None
+        out.append(SequenceMatcher(None, x, y).ratio() if known else None)
     return pd.Series(out, dtype="float64")
 
 
-@lru_cache(maxsize=65536)
-def _best(key: str, targets: tuple[str, ...], floor: float) -> tuple[int, float]:
+def _best(key: str, targets: Sequence[str], floor: float) -> tuple[int, float]:
     """Position and ratio of the first best target whose ratio is above `floor`."""
     best_at, best = -1, floor
     matcher = SequenceMatcher()
     size = len(key)
     for at, target in enumerate(targets):
         total = size + len(target)
-        # the two bounds below are upper bounds of ratio(), so skipping is exact
+        # both bounds below are upper bounds of ratio(), so skipping is exact
         if total and 2.0 * min(size, len(target)) / total <= best:
             continue
         matcher.set_seq2(target)
@@ -62,9 +61,9 @@ def _best(key: str, targets: tuple[str, ...], floor: float) -> tuple[int, float]
     return best_at, (best if best_at >= 0 else 0.0)
 
 
-def _best_frame(keys, targets, floor: float) -> pd.DataFrame:
-    found = [(-1, 0.0) if k is None else _best(k, tuple(t), floor) for k, t in zip(keys, targets)]
-    return pd.DataFrame(found, columns=["position", "ratio"])
+def _below(threshold: float) -> float:
+    """Ratios are fractions of small whole numbers: a hair below keeps "at or above"."""
+    return threshold - 1e-12
 
 
 def best_of(key: Column, targets: Column, threshold: float) -> Column:
@@ -73,51 +72,51 @@ def best_of(key: Column, targets: Column, threshold: float) -> Column:
     `targets` is an array column with the keys of one target table in ordinal order; the
     position is -1 when no target reaches the threshold.
     """
-    # ratios are fractions with small denominators: stepping below keeps "at or above"
-    floor = threshold - 1e-12
+    floor = _below(threshold)
 
     @pandas_udf(BEST_TYPE)
     def udf(k: pd.Series, t: pd.Series) -> pd.DataFrame:
-        return _best_frame(k, t, floor)
+        found = [(-1, 0.0) if x is None else _best(x, y, floor) for x, y in zip(k, t)]
+        return pd.DataFrame(found, columns=["position", "ratio"])
 
     return udf(key, targets)
 
 
-def best_of_known(target_keys: Sequence[str], threshold: float):
-    """UDF over an array of keys for a target the driver knows: array of best ratios.
+def best_of_known(keys: Column, target_keys: Sequence[str], threshold: float) -> Column:
+    """Best ratio for each key of an array, for a target the driver knows.
 
-    A ratio below the threshold is reported as 0.0.
+    A ratio below the threshold is reported as 0.0. Each distinct key of a batch is compared once.
     """
-    known = tuple(target_keys)
-    floor = threshold - 1e-12
+    known = list(target_keys)
+    floor = _below(threshold)
 
-    @pandas_udf("array<double>")
+    @pandas_udf(T.ArrayType(T.DoubleType()))
     def udf(rows: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None else [_best(k, known, floor)[1] for k in r] for r in rows])
+        distinct = {k for row in rows if row is not None for k in row}
+        ratio = {k: _best(k, known, floor)[1] for k in distinct}
+        return pd.Series([None if row is None else [ratio[k] for k in row] for row in rows])
 
-    return udf
+    return udf(keys)
 
 
-@lru_cache(maxsize=65536)
-def _scores(target: str, keys: tuple[str, ...]) -> tuple[int, float]:
+def _suggest(target: str, keys: Sequence[str]) -> tuple[int, float]:
     """First best key for a target, where containment counts as at least 0.75."""
     best_at, best = -1, 0.0
     matcher = SequenceMatcher()
     matcher.set_seq2(target)
     for at, key in enumerate(keys):
         contained = bool(key and target) and (key in target or target in key)
-        floor = max(best, 0.75) if contained else best
+        worth = 0.75 if contained else 0.0
         matcher.set_seq1(key)
-        ratio = 0.75 if contained else 0.0
-        if matcher.real_quick_ratio() > floor and matcher.quick_ratio() > floor:
-            ratio = max(ratio, matcher.ratio())
-        if ratio > best:
-            best_at, best = at, ratio
+        if matcher.quick_ratio() > max(best, worth):
+            worth = max(worth, matcher.ratio())
+        if worth > best:
+            best_at, best = at, worth
     return best_at, best
 
 
 @pandas_udf(BEST_TYPE)
 def best_suggestion(target: pd.Series, keys: pd.Series) -> pd.DataFrame:
-    """struct(position, ratio) of the ignored header that suits a missing target best."""
-    found = [_scores(t, tuple(k)) for t, k in zip(target, keys)]
+    """struct(position, ratio) of the left-out header that suits a missing target best."""
+    found = [_suggest(t, k) for t, k in zip(target, keys)]
     return pd.DataFrame(found, columns=["position", "ratio"])

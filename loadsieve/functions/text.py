@@ -80,11 +80,10 @@ def fold_accents(c: Column) -> Column:
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(F.create_map(*pairs), ch), ch)),
         "",
     )
-    return (
-        F.when(c.rlike("[" + "".join(many) + "]"), F.translate(spelled, src, dst))
-        .when(c.rlike(r"[^\x00-\x7F]"), plain)
-        .otherwise(c)
-    )
+    # translate() looks characters up in a table, which a pattern with hundreds of them does not
+    has_many = F.translate(c, "".join(many), "") != c
+    folded = F.when(has_many, F.translate(spelled, src, dst)).otherwise(plain)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
 
 
 def _key_base(c: Column, drop_parentheses: bool) -> Column:

@@ -29,6 +29,15 @@ def drop_control_columns(df: DataFrame, names: Sequence[str] = (ERRORS_COLUMN,))
     return df.drop(*[c for c in df.columns if c.strip().lower() in names])
 
 
+def keep_rows(df: DataFrame, condition: Column, columns: Sequence[Column]) -> DataFrame:
+    """Columns of the rows that meet the condition, evaluated after the projections of `df`.
+
+    A filter would be pushed below those projections, and every parser the condition depends on
+    would be planned and evaluated a second time. Emitting one row or none is not pushed.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
+
+
 def drop_empty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     return df.dropna(how="all", subset=present) if present else df

@@ -150,8 +150,8 @@ def score_rows(rows: DataFrame, targets: Sequence[str], threshold: float = DEFAU
             "__others": F.filter("__cells", lambda x: ~matched(x)),
         }
     )
-    ratio = best_of_known(keys, threshold)
-    base = base.withColumn("__ratios", ratio(F.transform("__others", lambda x: x["key"])))
+    other_keys = F.transform("__others", lambda x: x["key"])
+    base = base.withColumn("__ratios", best_of_known(other_keys, keys, threshold))
 
     def worth(cell: Column, best: Column) -> Column:
         letters = F.when(cell["text"].rlike("[a-zA-Z]"), 0.4).otherwise(0.0)

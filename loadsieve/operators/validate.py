@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadsieve.functions import parsers as P
 from loadsieve.functions.text import strip
-from loadsieve.operators.cleaning import ERRORS_COLUMN
+from loadsieve.operators.cleaning import ERRORS_COLUMN, keep_rows
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
 
 PARSED = "__parsed_"
@@ -73,10 +73,10 @@ def compile_rule(meta: ColumnMeta, spec: LoadSpec) -> Rule:
     if family in ("date", "timestamp"):
         return _date_rule(meta, spec, raw, got)
     if family == "boolean":
-        return Rule(meta, P.parse_bool(raw), bad_bool(raw, got), got)
+        return Rule(meta, P.bool_of(raw), bad_bool(raw, got), got)
     if family == "decimal":
-        return Rule(meta, P.parse_decimal(raw, *meta.precision), bad_parse(raw, got), got)
-    number = P.parse_number_v1(raw) if spec.plain_numbers_only else P.parse_number(raw)
+        return Rule(meta, P.decimal_of(raw, *meta.precision), bad_parse(raw, got), got)
+    number = P.plain_number_of(raw) if spec.plain_numbers_only else P.number_of(raw)
     bad = bad_parse(raw, got)
     if family == "integer":
         # the database rounds a fraction and refuses a number out of range
@@ -93,13 +93,13 @@ def _date_rule(meta: ColumnMeta, spec: LoadSpec, raw: Column, got: Column) -> Ru
     if spec.reject_bare_year:
         source = F.when(~strip(raw).rlike("^(19[0-9]{2}|20[0-9]{2}|2100)$"), raw)
     if spec.unbounded_dates and meta.family == "date":
-        return Rule(meta, P.parse_date_unbounded(source), bad_parse(raw, got), got)
+        return Rule(meta, P.unbounded_date_of(source), bad_parse(raw, got), got)
     if meta.family == "timestamp":
-        parsed = P.parse_timestamp(source)
+        parsed = P.timestamp_of(source)
     elif meta.name in spec.period_columns:
-        parsed = P.parse_period(source)
+        parsed = P.period_of(source)
     else:
-        parsed = P.parse_date(source)
+        parsed = P.date_of(source)
     in_range = F.year(got).between(spec.min_year, spec.max_year)
     bad = bad_parse(raw, got) | bad_year(got, spec.min_year, spec.max_year)
     return Rule(meta, parsed, bad, F.when(in_range, got).cast(meta.spark_type))
@@ -155,13 +155,15 @@ def reasons(spec: LoadSpec) -> list[str]:
 
 
 def valid_rows(staged: DataFrame, raw_as: str = "raw") -> DataFrame:
-    return staged.filter(F.col(ERRORS_COLUMN) == "").drop(raw_as, ERRORS_COLUMN)
+    names = [c for c in staged.columns if c not in (raw_as, ERRORS_COLUMN)]
+    return keep_rows(staged, F.col(ERRORS_COLUMN) == "", [F.col(c) for c in names])
 
 
 def reject_rows(staged: DataFrame, spec: LoadSpec, keep: Sequence[str] = (), raw_as: str = "raw") -> DataFrame:
     """Rejected rows as they came, cleaned but not typed, with their reasons."""
     raw = [F.col(f"{raw_as}.{m.name}").alias(m.name) for m in spec.inputs]
-    return staged.filter(F.col(ERRORS_COLUMN) != "").select(*keep, *raw, ERRORS_COLUMN)
+    columns = [*[F.col(c) for c in keep], *raw, F.col(ERRORS_COLUMN)]
+    return keep_rows(staged, F.col(ERRORS_COLUMN) != "", columns)
 
 
 def annotate(staged: DataFrame, spec: LoadSpec, keep: Sequence[str] = (), raw_as: str = "raw") -> DataFrame:

@@ -16,8 +16,8 @@ from loadsieve.operators import mapping as M
 from loadsieve.operators.cleaning import (
     ERRORS_COLUMN,
     apply_fixed_values,
-    drop_empty_rows,
-    drop_summary_rows,
+    is_summary_row,
+    keep_rows,
 )
 from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns
 from loadsieve.operators.validate import validate
@@ -146,8 +146,12 @@ def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFr
         (clean_text(F.col(n).cast("string"), spec.null_tokens) if n in have else F.lit(None).cast("string")).alias(n)
         for n in names
     ]
-    cleaned = drop_empty_rows(rows.select(*keep, *text), [n for n in names if n in have])
-    return drop_summary_rows(cleaned, *spec.summary_columns) if spec.summary_columns else cleaned
+    cleaned = rows.select(*keep, *text)
+    present = [F.col(n) for n in names if n in have]
+    wanted = F.coalesce(*present).isNotNull() if present else F.lit(True)
+    if spec.summary_columns:
+        wanted = wanted & ~is_summary_row(*[F.col(n) for n in spec.summary_columns])
+    return keep_rows(cleaned, wanted, [F.col(c) for c in cleaned.columns])
 
 
 def stage(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ("file", "row_no")) -> DataFrame:
