@@ -26,36 +26,40 @@ FALSE_WORDS = ("false", "0", "no")
 BOOL_NULL_WORDS = ("<na>", "nan", "")
 
 _TIME = "(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
-DAY_FIRST = rf"^([0-9]{{1,2}})[/-]([0-9]{{1,2}})[/-]([0-9]{{4}})( {_TIME})?$"
 # year 0 is no calendar year, although Spark would accept it
-YEAR_FIRST = rf"^((?!0000)[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})( {_TIME})?$"
+DAY_FIRST = rf"^([0-9]{{1,2}})[/-]([0-9]{{1,2}})[/-]((?!0000)[0-9]{{4}})( {_TIME})?$"
+YEAR_FIRST = rf"^(?!0000)[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}( {_TIME})?$"
+YEAR_FIRST_ANY_TIME = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(\s+[0-9]{2}:[0-9]{2}:[0-9]{2})?$"
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 NUMBER_OR_INFINITE = rf"{NUMBER}|^[+-]?(?i:inf|infinity)$"
+MONTH_TEXT = rf"^({'|'.join(MONTHS)})[/-]?([0-9]{{2}}|[0-9]{{4}})$"
 
 _DIGITS = "[0-9](?:_?[0-9])*"
 _GROUPED_NUMBER = rf"^[+-]?({_DIGITS}[.]?({_DIGITS})?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?$"
-_NAMES = "|".join(MONTHS)
 
-# The functions named *_of take trimmed text, and mention it as rarely as they can: an expression
-# that is repeated is planned, generated and, behind a condition, evaluated as often. A pattern
-# that does not match extracts the empty text, which try_cast turns into null.
+# The functions named *_of take trimmed text, best a plain column: an expression that is repeated
+# is planned and generated as often. The pattern comes first because a cast that fails is dear: it
+# costs an exception inside try_cast, several times the price of the pattern.
 
 
 def _year_first(t: Column) -> Column:
-    """Calendar text with its parts in the order year, month, day."""
     return F.regexp_replace(t, DAY_FIRST, "$3-$2-$1$4")
 
 
+def _calendar(t: Column, kind: str) -> Column:
+    return F.when(t.rlike(DAY_FIRST), _year_first(t)).when(t.rlike(YEAR_FIRST), t).try_cast(kind)
+
+
 def calendar_date_of(t: Column) -> Column:
-    return F.regexp_extract(_year_first(t), YEAR_FIRST, 1).try_cast("date")
+    return _calendar(t, "date")
 
 
 def calendar_stamp_of(t: Column) -> Column:
-    return F.regexp_extract(_year_first(t), YEAR_FIRST, 0).try_cast("timestamp_ntz")
+    return _calendar(t, "timestamp_ntz")
 
 
 def serial_of(t: Column) -> Column:
-    return F.regexp_extract(t, NUMBER, 0).try_cast("double")
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
 def _serial_day(n: Column, last: int) -> Column:
@@ -74,11 +78,13 @@ def serial_stamp_of(t: Column) -> Column:
 
 
 def month_date_of(t: Column) -> Column:
+    # lower() is left for texts that start with a letter
+    low = F.when(t.rlike("^[a-zA-Z]"), F.lower(t))
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(low, MONTH_TEXT, 1))
+    year = F.regexp_extract(low, MONTH_TEXT, 2)
     # two digits, or four of which the first two are zeros, mean 2000 and later
-    full = F.regexp_replace(F.lower(t), rf"^({_NAMES})[/-]?(?:00)?([0-9]{{2}})$", "$1-20$2")
-    shape = rf"^({_NAMES})[/-]?([0-9]{{4}})$"
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(full, shape, 1))
-    return F.concat_ws("-", F.regexp_extract(full, shape, 2), month.cast("string"), F.lit("1")).try_cast("date")
+    year = F.when(year.startswith("00") | (F.length(year) == 2), F.concat(F.lit("20"), F.right(year, F.lit(2)))).otherwise(year)
+    return F.when(low.rlike(MONTH_TEXT), F.concat_ws("-", year, month.cast("string"), F.lit("1")).try_cast("date"))
 
 
 def date_of(t: Column) -> Column:
@@ -94,13 +100,13 @@ def timestamp_of(t: Column) -> Column:
 
 
 def unbounded_date_of(t: Column) -> Column:
-    number = F.regexp_extract(F.replace(t, F.lit(","), F.lit(".")), _GROUPED_NUMBER, 0)
-    serial = F.replace(number, F.lit("_"), F.lit("")).try_cast("double")
-    ordered = F.regexp_replace(t, "^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})$", "$3-$2-$1")
-    shape = r"^((?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(\s+[0-9]{2}:[0-9]{2}:[0-9]{2})?$"
-    return F.coalesce(
-        _serial_day(serial, SERIAL_MAX_UNBOUNDED), F.regexp_extract(ordered, shape, 1).try_cast("date")
+    number = F.replace(t, F.lit(","), F.lit("."))
+    serial = F.when(number.rlike(_GROUPED_NUMBER), F.replace(number, F.lit("_"), F.lit("")).try_cast("double"))
+    day_first = t.rlike(DAY_FIRST) & ~t.contains(":")
+    ordered = F.when(day_first, _year_first(t)).when(
+        t.rlike(YEAR_FIRST_ANY_TIME), F.regexp_replace(t, r"\s.*$", "")
     )
+    return F.coalesce(_serial_day(serial, SERIAL_MAX_UNBOUNDED), ordered.try_cast("date"))
 
 
 def number_text_of(t: Column) -> Column:
@@ -112,16 +118,20 @@ def number_text_of(t: Column) -> Column:
     return F.when(t.startswith("np."), bare).otherwise(plain)
 
 
+def _checked(t: Column, pattern: str, kind: str) -> Column:
+    return F.when(t.rlike(pattern), t.try_cast(kind))
+
+
 def number_of(t: Column) -> Column:
-    return F.regexp_extract(number_text_of(t), NUMBER_OR_INFINITE, 0).try_cast("double")
+    return _checked(number_text_of(t), NUMBER_OR_INFINITE, "double")
 
 
 def plain_number_of(t: Column) -> Column:
-    return F.regexp_extract(t, NUMBER_OR_INFINITE, 0).try_cast("double")
+    return _checked(t, NUMBER_OR_INFINITE, "double")
 
 
 def decimal_of(t: Column, precision: int, scale: int) -> Column:
-    return F.regexp_extract(number_text_of(t), NUMBER, 0).try_cast(f"decimal({precision},{scale})")
+    return _checked(number_text_of(t), NUMBER, f"decimal({precision},{scale})")
 
 
 def bool_of(t: Column) -> Column:
@@ -178,9 +188,9 @@ def parse_bool(c: Column) -> Column:
     return bool_of(strip(c))
 
 
-def bool_has_text(c: Column) -> Column:
+def bool_text_of(t: Column) -> Column:
     """True when the text says something that ought to be a boolean."""
-    return F.coalesce(~F.lower(strip(c)).isin(*BOOL_NULL_WORDS), F.lit(False))
+    return F.coalesce(~F.lower(t).isin(*BOOL_NULL_WORDS), F.lit(False))
 
 
 # Shapes of literal column defaults and of the cast that may follow.
@@ -217,11 +227,13 @@ _WRAPPED_FLOAT = r"^np[.]float64[(]([-+]?[0-9]+(?:[.][0-9]+)?(?:[eE][-+]?[0-9]+)
 _WRAPPED_INT = r"^np[.]int64[(]([-+]?[0-9]+)[)]$"
 
 
+def storage_text_of(t: Column) -> Column:
+    bare = F.when(t.rlike(_WRAPPED_FLOAT), F.regexp_extract(t, _WRAPPED_FLOAT, 1)).when(
+        t.rlike(_WRAPPED_INT), F.regexp_extract(t, _WRAPPED_INT, 1)
+    )
+    return F.when(t.startswith("np."), F.coalesce(bare, t)).otherwise(t)
+
+
 def storage_text(c: Column) -> Column:
     """Text as stored: trimmed, and a wrapped number shown as the number."""
-    t = strip(c)
-    return (
-        F.when(t.rlike(_WRAPPED_FLOAT), F.regexp_extract(t, _WRAPPED_FLOAT, 1))
-        .when(t.rlike(_WRAPPED_INT), F.regexp_extract(t, _WRAPPED_INT, 1))
-        .otherwise(t)
-    )
+    return storage_text_of(strip(c))

@@ -32,7 +32,9 @@ def strip(c: Column) -> Column:
 def clean_text(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Trimmed text, or null when the text is one of the null tokens."""
     t = strip(c)
-    return F.when(~t.isin(*tokens), t)
+    # a text longer than every token needs no look at the tokens
+    longest = max(len(token.encode()) for token in tokens)
+    return F.when(F.octet_length(t) > longest, t).when(~t.isin(*tokens), t)
 
 
 def safe_text(c: Column) -> Column:

@@ -34,7 +34,7 @@ def bad_year(parsed: Column, min_year: int, max_year: int) -> Column:
 
 
 def bad_bool(original: Column, parsed: Column) -> Column:
-    return P.bool_has_text(original) & parsed.isNull()
+    return P.bool_text_of(strip(original)) & parsed.isNull()
 
 
 def bad_order(start: Column, end: Column) -> Column:
@@ -68,16 +68,18 @@ def compile_rule(meta: ColumnMeta, spec: LoadSpec) -> Rule:
     raw = F.col(meta.name)
     got = F.col(PARSED + meta.name)
     family = meta.family
+    # cleaned text is trimmed, and null when blank
+    unread = raw.isNotNull() & got.isNull()
     if family == "text":
-        return Rule(meta, None, None, P.storage_text(raw))
+        return Rule(meta, None, None, P.storage_text_of(raw))
     if family in ("date", "timestamp"):
         return _date_rule(meta, spec, raw, got)
     if family == "boolean":
-        return Rule(meta, P.bool_of(raw), bad_bool(raw, got), got)
+        return Rule(meta, P.bool_of(raw), P.bool_text_of(raw) & got.isNull(), got)
     if family == "decimal":
-        return Rule(meta, P.decimal_of(raw, *meta.precision), bad_parse(raw, got), got)
+        return Rule(meta, P.decimal_of(raw, *meta.precision), unread, got)
     number = P.plain_number_of(raw) if spec.plain_numbers_only else P.number_of(raw)
-    bad = bad_parse(raw, got)
+    bad = unread
     if family == "integer":
         # the database rounds a fraction and refuses a number out of range
         limit = float(2 ** (_INTEGER_BITS[meta.spark_type] - 1))
@@ -93,7 +95,7 @@ def _date_rule(meta: ColumnMeta, spec: LoadSpec, raw: Column, got: Column) -> Ru
     if spec.reject_bare_year:
         source = F.when(~strip(raw).rlike("^(19[0-9]{2}|20[0-9]{2}|2100)$"), raw)
     if spec.unbounded_dates and meta.family == "date":
-        return Rule(meta, P.unbounded_date_of(source), bad_parse(raw, got), got)
+        return Rule(meta, P.unbounded_date_of(source), raw.isNotNull() & got.isNull(), got)
     if meta.family == "timestamp":
         parsed = P.timestamp_of(source)
     elif meta.name in spec.period_columns:
@@ -101,7 +103,7 @@ def _date_rule(meta: ColumnMeta, spec: LoadSpec, raw: Column, got: Column) -> Ru
     else:
         parsed = P.date_of(source)
     in_range = F.year(got).between(spec.min_year, spec.max_year)
-    bad = bad_parse(raw, got) | bad_year(got, spec.min_year, spec.max_year)
+    bad = (raw.isNotNull() & got.isNull()) | bad_year(got, spec.min_year, spec.max_year)
     return Rule(meta, parsed, bad, F.when(in_range, got).cast(meta.spark_type))
 
 

@@ -116,6 +116,8 @@ class LoadSpec:
             raise ValueError(f"{self.target}: no columns found")
         if len(set(names)) != len(names):
             raise ValueError(f"{self.target}: repeated column names")
+        if "" not in self.null_tokens:
+            raise ValueError("the empty text is always a null token")
 
     @property
     def insertable(self) -> list[ColumnMeta]:

