@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loadsieve.functions.text import strip
+from loadsieve.functions.text import strip, text_array
 
 # Month abbreviations in calendar order.
 MONTHS = ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic")
@@ -80,7 +80,7 @@ def serial_stamp_of(t: Column) -> Column:
 def month_date_of(t: Column) -> Column:
     # lower() is left for texts that start with a letter
     low = F.when(t.rlike("^[a-zA-Z]"), F.lower(t))
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(low, MONTH_TEXT, 1))
+    month = F.array_position(text_array(MONTHS), F.regexp_extract(low, MONTH_TEXT, 1))
     year = F.regexp_extract(low, MONTH_TEXT, 2)
     # two digits, or four of which the first two are zeros, mean 2000 and later
     year = F.when(year.startswith("00") | (F.length(year) == 2), F.concat(F.lit("20"), F.right(year, F.lit(2)))).otherwise(year)

@@ -42,6 +42,11 @@ def safe_text(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit(""))
 
 
+def text_array(values: Sequence[str]) -> Column:
+    """Constant array from one literal; Catalyst folds the split."""
+    return F.split(F.lit("\x1f".join(values)), "\x1f")
+
+
 def is_unnamed(c: Column) -> Column:
     return F.lower(strip(c)).rlike(UNNAMED_PATTERN)
 
@@ -77,10 +82,11 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 def fold_accents(c: Column) -> Column:
     src, dst, many = _fold_tables()
     plain = F.translate(c, src, dst)
-    pairs = [F.lit(x) for item in many.items() for x in item]
+    # one literal that Catalyst folds into a constant map, instead of hundreds of literals
+    pairs = F.lit("\x1e".join(f"{ch}\x1f{base}" for ch, base in many.items()))
+    table = F.str_to_map(pairs, F.lit("\x1e"), F.lit("\x1f"))
     spelled = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(F.create_map(*pairs), ch), ch)),
-        "",
+        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
     # translate() looks characters up in a table, which a pattern with hundreds of them does not
     has_many = F.translate(c, "".join(many), "") != c

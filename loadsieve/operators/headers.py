@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadsieve.functions.similarity import DEFAULT_THRESHOLD, best_of_known
-from loadsieve.functions.text import canonical_key, canonical_key_py, is_unnamed, safe_text, strip
+from loadsieve.functions.text import canonical_key, canonical_key_py, is_unnamed, safe_text, strip, text_array
 
 # The column limit of the sheet format, the rows looked at when a header row is
 # searched, the score that ends the search and the score a stored header row must reach.
@@ -137,7 +137,7 @@ def score_rows(rows: DataFrame, targets: Sequence[str], threshold: float = DEFAU
     the row, so no shuffle is needed; only keys without an exact match go to the similarity UDF.
     """
     keys = list(dict.fromkeys(canonical_key_py(t) for t in targets))
-    known = F.array(*[F.lit(k) for k in keys])
+    known = text_array(keys)
     texts = F.filter(F.transform(F.col("cells"), safe_text), lambda x: x != "")
     cells = F.transform(texts, lambda x: F.struct(x.alias("text"), canonical_key(x).alias("key")))
     base = rows.withColumns({"__filled": F.size(texts), "__cells": F.filter(cells, lambda x: x["key"] != "")})

@@ -22,6 +22,7 @@ from loadsieve.operators.cleaning import (
 from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns
 from loadsieve.operators.validate import validate
 from loadsieve.plans.spec import LoadSpec
+from loadsieve.session import saved
 from loadsieve.sources import grid
 from loadsieve.sources import sinks
 from loadsieve.sources import stores
@@ -100,25 +101,29 @@ def map_files(
 
     Files may differ in layout: each file's layout is one small row (target column to cell
     position), joined together with the row offsets of the file's blocks, so all files go
-    through one plan and the lines themselves meet a single join.
+    through one plan and the lines themselves meet a single join. Preview, header rows, headers
+    and mapping are small tables that are saved as they are found.
     """
     lines = grid.scan_lines(spark, path)
-    top = grid.preview(lines)
+    top = saved(grid.preview(lines), "preview")
     names = [m.name for m in spec.inputs]
     scored = H.score_rows(
         top.select("file", "row_no", grid.split_cells(F.col("line"), delimiter).alias("cells")), names, spec.threshold
     )
-    files = top.select("file").distinct().withColumn("target_table", F.lit(spec.target))
+    scored = saved(scored, "header-scores")
+    files = scored.select("file").distinct().withColumn("target_table", F.lit(spec.target))
     nothing = spark.createDataFrame([], "target_table STRING, file STRING, header_row INT")
     asked = files.withColumn("header_row", F.lit(spec.header_row)) if spec.header_row else nothing
     kept = stored_headers if stored_headers is not None else nothing
-    header_rows = H.resolve_header(files, asked, kept, scored, H.detect_header(scored))
+    header_rows = saved(H.resolve_header(files, asked, kept, scored, H.detect_header(scored)), "header-rows")
 
     headers = grid.header_cells(top, header_rows, delimiter).withColumn("target_table", F.lit(spec.target))
-    headers = headers.filter(F.lower(F.trim("raw_header")) != ERRORS_COLUMN)
+    headers = saved(headers.filter(F.lower(F.trim("raw_header")) != ERRORS_COLUMN), "headers")
     targets = spec_targets(spark, spec)
     remembered = rules if rules is not None else spec_rules(spark, spec).limit(0)
-    mapping = M.propose_mapping(headers, targets, spec_rules(spark, spec), remembered, spec.threshold)
+    mapping = saved(
+        M.propose_mapping(headers, targets, spec_rules(spark, spec), remembered, spec.threshold), "mapping"
+    )
     feeds = files.select(F.col("file").alias("feed_id"), "target_table")
     missing = M.missing_columns(mapping, feeds, targets)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for wide, text-heavy loads. A fused stage over dozens of text columns grows
 # into methods the JVM never compiles to machine code (over 8,000 bytes); such stages run faster as
@@ -52,3 +52,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="loadsieve-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back: its lineage ends there.
+
+    For small tables that several later steps read (previews, header rows, mappings); without it
+    every step would scan the source files again.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,12 +36,25 @@ def rows_of(names, rows) -> list:
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+# Spark type names as DuckDB names them
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_differences(got, want) -> list[str]:
+    theirs = {c[0]: str(c[1]) for c in want.description}
+    mine = {n: TYPES.get(t, t.upper()) for n, t in got.dtypes}
+    return [f"{n}: {t} here, {theirs[n]} there" for n, t in mine.items() if theirs.get(n) != t]
+
+
 def differences(spark, con, query, sql, sf_dir) -> str | None:
     got = query(spark, sf_dir)
     want = con.execute(sql)
     columns = [c[0] for c in want.description]
     if sorted(got.columns) != sorted(columns):
         return f"columns {sorted(got.columns)} != {sorted(columns)}"
+    types = type_differences(got, want)
+    if types:
+        return f"types {types}"
     mine = rows_of(got.columns, [tuple(r) for r in got.collect()])
     theirs = rows_of(columns, want.fetchall())
     if mine == theirs:

@@ -8,6 +8,7 @@ from loadsieve.functions.similarity import similarity
 from loadsieve.functions.text import canonical_key
 from loadsieve.operators import headers as H
 from loadsieve.operators import mapping as M
+from loadsieve.session import saved
 from loadsieve.sources import grid
 from workload import ducksql as D
 from workload.fixtures import duck, frame, table
@@ -23,17 +24,22 @@ def target_names(spark, d) -> list[str]:
     return [r["target"] for r in rows]
 
 
-def mapping(spark, d):
+def propose(spark, d):
     f = lambda name: frame(spark, d, name)
     return M.propose_mapping(f("feeds"), f("targets"), f("config_rules"), f("rules"), THRESHOLD)
 
 
+def mapping(spark, d):
+    """The proposal as a stored table, which is what the later steps read."""
+    return saved(propose(spark, d), "mapping")
+
+
 def feeds_list(spark, d):
     return frame(spark, d, "feeds").select("feed_id", "target_table").distinct()
 
 
-def missing(spark, d):
-    return M.missing_columns(mapping(spark, d), feeds_list(spark, d), frame(spark, d, "targets"))
+def missing(spark, d, found=None):
+    return M.missing_columns(found or mapping(spark, d), feeds_list(spark, d), frame(spark, d, "targets"))
 
 
 def scored(spark, d):
@@ -99,6 +105,16 @@ def mapping_lookup(spark, d):
     return M.rules_by_key(frame(spark, d, "rule_history"))
 
 
+def mapping_coverage(spark, d):
+    found = mapping(spark, d)
+    return M.coverage(found, missing(spark, d, found))
+
+
+def mapping_suggest(spark, d):
+    found = mapping(spark, d)
+    return M.suggest(found, missing(spark, d, found), THRESHOLD)
+
+
 QUERIES = {
     "similarity": q_similarity,
     "best_match": best_match,
@@ -110,13 +126,13 @@ QUERIES = {
     "neardup_signature": lambda s, d: H.near_repeats(frame(s, d, "feeds")),
     "neardup_report": neardup_report,
     "neardup_changed": neardup_changed,
-    "mapping_propose": mapping,
+    "mapping_propose": propose,
     "mapping_apply": lambda s, d: M.column_names(mapping(s, d)).select("feed_id", "ordinal", "raw_header", "column_name"),
     "mapping_autoconfirm": lambda s, d: M.auto_confirm(mapping(s, d)),
     "mapping_low_conf": lambda s, d: M.low_confidence(mapping(s, d)),
-    "mapping_coverage": lambda s, d: M.coverage(mapping(s, d), missing(s, d)),
+    "mapping_coverage": mapping_coverage,
     "missing_columns": missing,
-    "mapping_suggest": lambda s, d: M.suggest(mapping(s, d), missing(s, d), THRESHOLD),
+    "mapping_suggest": mapping_suggest,
     "mapping_upsert": mapping_upsert,
     "mapping_lookup": mapping_lookup,
     "alias_mapping": alias_mapping,
