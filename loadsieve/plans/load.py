@@ -105,19 +105,19 @@ def map_files(
     and mapping are small tables that are saved as they are found.
     """
     lines = grid.scan_lines(spark, path)
-    top = saved(grid.preview(lines), "preview")
-    names = [m.name for m in spec.inputs]
-    scored = H.score_rows(
-        top.select("file", "row_no", grid.split_cells(F.col("line"), delimiter).alias("cells")), names, spec.threshold
+    split = grid.split_quoted if quoted else grid.split_cells
+    top = saved(grid.preview(lines), "preview").select(
+        "file", "row_no", split(F.col("line"), delimiter).alias("cells")
     )
-    scored = saved(scored, "header-scores")
+    names = [m.name for m in spec.inputs]
+    scored = saved(H.score_rows(top, names, spec.threshold).drop("cells"), "header-scores")
     files = scored.select("file").distinct().withColumn("target_table", F.lit(spec.target))
     nothing = spark.createDataFrame([], "target_table STRING, file STRING, header_row INT")
     asked = files.withColumn("header_row", F.lit(spec.header_row)) if spec.header_row else nothing
     kept = stored_headers if stored_headers is not None else nothing
     header_rows = saved(H.resolve_header(files, asked, kept, scored, H.detect_header(scored)), "header-rows")
 
-    headers = grid.header_cells(top, header_rows, delimiter).withColumn("target_table", F.lit(spec.target))
+    headers = grid.header_cells(top, header_rows).withColumn("target_table", F.lit(spec.target))
     headers = saved(headers.filter(F.lower(F.trim("raw_header")) != ERRORS_COLUMN), "headers")
     targets = spec_targets(spark, spec)
     remembered = rules if rules is not None else spec_rules(spark, spec).limit(0)

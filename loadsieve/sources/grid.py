@@ -16,6 +16,13 @@ def split_cells(line: Column, delimiter: str = "|") -> Column:
     return F.split(line, "[" + delimiter + "]", -1)
 
 
+def split_quoted(line: Column, delimiter: str = "|") -> Column:
+    """Cells of one line whose cells may be quoted and whose width is unknown. Each delimiter
+    looks ahead over the rest of the line, so this is for header previews only."""
+    cells = F.split(line, "[" + delimiter + ']' + '(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(cells, lambda x: F.regexp_replace(x, '^"(.*)"$', "$1"))
+
+
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of text files with file, file block and a position that grows inside each block."""
     return spark.read.text(path).select(
@@ -77,14 +84,15 @@ def data_rows(numbered: DataFrame, header_rows: DataFrame) -> DataFrame:
     )
 
 
-def header_cells(preview_rows: DataFrame, header_rows: DataFrame, delimiter: str = "|") -> DataFrame:
-    """Header frame (feed_id, ordinal, raw_header) taken from each file's header row.
+def header_cells(preview_rows: DataFrame, header_rows: DataFrame) -> DataFrame:
+    """Header frame (feed_id, ordinal, raw_header) taken from each file's header row; the preview
+    rows hold an array `cells`.
 
     Readers name an empty header cell after its position and label a repeated header X.1, X.2.
     """
     at = header_rows.select("file", F.col("header_row").alias("row_no"))
     cells = preview_rows.join(at, ["file", "row_no"], "left_semi").select(
-        F.col("file").alias("feed_id"), F.posexplode(split_cells(F.col("line"), delimiter)).alias("at", "cell")
+        F.col("file").alias("feed_id"), F.posexplode("cells").alias("at", "cell")
     )
     shown = F.when(F.trim("cell") == "", F.concat(F.lit("Unnamed: "), F.col("at").cast("string"))).otherwise(
         F.col("cell")
