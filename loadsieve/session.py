@@ -63,3 +63,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores when the source gives fewer tasks than there are cores.
+
+    One small or unsplittable file is one task, however costly the parsing after it. A source
+    with enough splits is left as it is, so large inputs never pay for a shuffle here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -9,6 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadsieve.operators.headers import PREVIEW_ROWS
+from loadsieve.session import saved
+
+# Largest block table that is sent to every executor; about a million blocks of 128 MB each.
+BLOCK_TABLE_LIMIT = 512 * 1024 * 1024
 
 
 def split_cells(line: Column, delimiter: str = "|") -> Column:
@@ -46,23 +50,34 @@ def number_lines(lines: DataFrame, per_file: DataFrame | None = None, extra: Seq
     Lines of a block sit next to each other in one task, so their positions are consecutive.
     Counting lines per block (one small row per block after map-side aggregation) and summing
     over the earlier blocks of a file turns a position into a row number. A file may therefore
-    be split over any number of tasks. The block table is joined by whatever strategy fits its
-    size, and a position outside its block stops the job instead of giving a wrong number.
-    `per_file` holds one row per file; its columns `extra` ride along on the block table.
+    be split over any number of tasks, and a position outside its block stops the job instead of
+    giving a wrong number. `per_file` holds one row per file; its columns `extra` ride along.
+
+    The block table is saved and measured. Up to BLOCK_TABLE_LIMIT bytes it is broadcast, so the
+    lines are not shuffled; beyond that both sides are shuffled by block, and no block is large.
     """
     blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    if per_file is not None:
+        blocks = blocks.join(per_file.select("file", *extra), "file")
+    blocks = saved(blocks, "blocks")
+    if _bytes_of(blocks) <= BLOCK_TABLE_LIMIT:
+        blocks = F.broadcast(blocks)
     offset = F.col("pos") - F.col("first_pos")
     inside = (offset >= 0) & (offset < F.col("n"))
     row_no = F.when(inside, F.col("earlier") + offset).otherwise(
         F.raise_error(F.concat(F.lit("files changed while being read: "), F.col("file"))).cast("bigint")
     )
-    if per_file is not None:
-        blocks = blocks.join(per_file.select("file", *extra), "file")
     return lines.join(blocks, ["file", "block"]).select("file", row_no.alias("row_no"), "line", *extra)
 
 
+def _bytes_of(df: DataFrame) -> int:
+    """Size of a saved table when held in memory: its values as text plus room for each row."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return df.agg(F.sum(row * 2 + 64)).first()[0] or 0
+
+
 def preview(lines: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     """First rows of each file: only the first block counts, and each task ranks its own part
     before anything is shuffled."""

@@ -26,7 +26,8 @@ def write_load(df: DataFrame, path: str, load_id: str, columns: Sequence[str] |
 
 
 def write_overwrite(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
-    """Truncate and load in one step: old partitions go when the new data is complete."""
+    """Truncate and load. Spark removes the old files as this write begins, so hand over rows read
+    from a staged copy: repeating the write after a failure then gives the same target."""
     chosen = df.select(*columns) if columns else df
     (
         chosen.withColumn("load_id", F.lit(load_id))
