@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loadsieve.functions.text import NULL_TOKENS_V1
+from loadsieve.session import small_frame
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
 
 # Column names in target order. {group} stands for the short name of the group of
@@ -76,4 +77,4 @@ def header_aliases(spark: SparkSession, group: str) -> DataFrame:
     """key, alias: most keys are the column name without underscores."""
     special = set(SPELLED_OUT.values())
     pairs = [(n.replace("_", ""), n) for n in _inputs(group) if n not in special]
-    return spark.createDataFrame(pairs + list(SPELLED_OUT.items()), "key STRING, alias STRING")
+    return small_frame(spark, pairs + list(SPELLED_OUT.items()), "key STRING, alias STRING")

@@ -22,7 +22,7 @@ from loadsieve.operators.cleaning import (
 from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns
 from loadsieve.operators.validate import validate
 from loadsieve.plans.spec import LoadSpec
-from loadsieve.session import saved
+from loadsieve.session import saved, small_frame
 from loadsieve.sources import grid
 from loadsieve.sources import sinks
 from loadsieve.sources import stores
@@ -80,12 +80,12 @@ TRUNCATE = "truncate"
 def spec_targets(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """Columns of one spec that headers may map to, as a frame."""
     rows = [(spec.target, i + 1, m.name) for i, m in enumerate(spec.inputs)]
-    return spark.createDataFrame(rows, "target_table STRING, ordinal INT, target STRING")
+    return small_frame(spark, rows, "target_table STRING, ordinal INT, target STRING")
 
 
 def spec_rules(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     rows = [(spec.target, h, t) for h, t in spec.column_map.items()]
-    return spark.createDataFrame(rows, "target_table STRING, raw_header STRING, target STRING")
+    return small_frame(spark, rows, "target_table STRING, raw_header STRING, target STRING")
 
 
 def map_files(
@@ -112,7 +112,7 @@ def map_files(
     names = [m.name for m in spec.inputs]
     scored = saved(H.score_rows(top, names, spec.threshold).drop("cells"), "header-scores")
     files = scored.select("file").distinct().withColumn("target_table", F.lit(spec.target))
-    nothing = spark.createDataFrame([], "target_table STRING, file STRING, header_row INT")
+    nothing = small_frame(spark, [], "target_table STRING, file STRING, header_row INT")
     asked = files.withColumn("header_row", F.lit(spec.header_row)) if spec.header_row else nothing
     kept = stored_headers if stored_headers is not None else nothing
     header_rows = saved(H.resolve_header(files, asked, kept, scored, H.detect_header(scored)), "header-rows")
@@ -246,7 +246,7 @@ def _log(spark, ledger, load_id, parent, source, seen, load_time) -> None:
         events.append((parent, None, stores.RETRY_DONE, version + 2))
     counts = (seen["rows_read"], seen["rows_valid"], seen["rows_invalid"])
     rows = [(i, p, source, *counts, event, v) for i, p, event, v in events]
-    stores.append_store(spark.createDataFrame(rows, stores.LEDGER).coalesce(1), ledger)
+    stores.append_store(small_frame(spark, rows, stores.LEDGER).coalesce(1), ledger)
 
 
 def load_files(

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings that matter for wide, text-heavy loads. A fused stage over dozens of text columns grows
 # into methods the JVM never compiles to machine code (over 8,000 bytes); such stages run faster as
@@ -65,6 +68,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a frame whose size the planner knows, so that joins with it need
+    no shuffle of the other side."""
+    kinds = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in kinds]
+    arrow = to_arrow_schema(kinds)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), kinds)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out over all cores when the source gives fewer tasks than there are cores.
 

@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadsieve.session import small_frame
+
 
 def write_load(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
     """Append one load as its own partition, columns in target order."""
@@ -66,4 +68,4 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], schema)
+        return small_frame(spark, [], schema)

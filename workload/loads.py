@@ -12,7 +12,7 @@ from loadsieve.operators import validate as V
 from loadsieve.plans import load as L
 from loadsieve.plans.fixed_schema import fixed_schema_spec, header_aliases
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
-from loadsieve.session import shared_dir
+from loadsieve.session import shared_dir, small_frame
 from loadsieve.sources import grid, sinks, stores
 from loadsieve.streaming.ingest import ingest
 from workload import ducksql as D
@@ -168,7 +168,7 @@ def load_fixed_schema(spark, d):
         F.lit("x").alias("Sin destino"),
     )
     heads = [c for c in lines.columns if c != "k"]
-    feed = spark.createDataFrame([("f", i, h) for i, h in enumerate(heads, 1)], "feed_id STRING, ordinal INT, raw_header STRING")
+    feed = small_frame(spark, [("f", i, h) for i, h in enumerate(heads, 1)], "feed_id STRING, ordinal INT, raw_header STRING")
     names = M.alias_mapping(feed, header_aliases(spark, "grupo")).orderBy("ordinal")
     pairs = [(r["raw_header"], r["column_name"]) for r in names.collect()]
     spec = fixed_schema_spec("grupo")
