@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -49,14 +53,23 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    Only a local session (a test) may go without that setting; it gets a temporary folder that is removed when Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not base:
-        base = tempfile.mkdtemp(prefix="loadsieve-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = _local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_dir() -> str:
+    made = tempfile.mkdtemp(prefix="loadsieve-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return made
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: its lineage ends there.
 
