@@ -166,7 +166,7 @@ MEASURES = T.StructType(
 
 
 def judge_repetition(
-    docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.2, max_longest: int = 60
+    docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.5, max_longest: int = 100
 ) -> DataFrame:
     """Every column of docs and the measures; measures replace columns of docs that have their names (text may not be one).
 
