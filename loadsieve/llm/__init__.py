@@ -1,5 +1,6 @@
 """Operators for training corpora and their registered queries."""
 
+from loadsieve.llm.packing import op5_bin_completion
 from loadsieve.llm.repetition import op1_suffix_array_repetition
 from loadsieve.llm.shards import op6_jump_shards
 from loadsieve.llm.simhash import op7_simhash_byte_index
@@ -8,6 +9,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_repetition,
+        op5_bin_completion,
         op6_jump_shards,
         op7_simhash_byte_index,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,3 +57,15 @@ def extended(batch: pa.RecordBatch, fields: T.StructType, values: pd.DataFrame)
     schema = to_arrow_schema(fields)
     more = [pa.array(values[f.name].tolist(), f.type) for f in schema]
     return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *schema.names])
+
+
+def slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts that reach about so many characters; a longer text ends its run, whole."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

@@ -5,7 +5,7 @@ around a suffix is as long as the longer prefix that it shares with a neighbour,
 that can't be extended to the left are the maximal repeated substrings; the union of the spans of those of at least min_words words is the covered part.
 A document fails when too large a part is covered or its longest repeat is too long.
 
-One pass without a shuffle. Documents are taken in runs of about RUN_WORDS words that share one sorting: the first rank of a word holds its
+One pass without a shuffle. Documents are taken in runs of about RUN_CHARS characters that share one sorting: the first rank of a word holds its
 document, so no repeat spans two documents. A longer document makes a run of its own, whole.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged each by itself. Empty tables give empty results.
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadsieve.llm.common import WHITE, extended, table
+from loadsieve.llm.common import WHITE, extended, slices, table
 
-RUN_WORDS = 200_000
+RUN_CHARS = 1_000_000
 #: Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, WINDOW, MAX_WINDOW_PERCENT = 50, 3, 50
@@ -144,18 +144,6 @@ def repeated_spans(text: str | None, min_words: int) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True))
 
 
-def runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Slices of about RUN_WORDS words, judged by their length in characters."""
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text or "") // 5 + 1
-        if held >= RUN_WORDS:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("covered_words", "n_maximal_repeats", "longest_repeat")
 MEASURES = T.StructType(
@@ -179,7 +167,7 @@ def judge_repetition(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(kept_columns.index(text)).to_pylist()
-            for a, b in runs(texts):
+            for a, b in slices(texts, RUN_CHARS):
                 out = measure(texts[a:b], min_words)
                 out["base_failed"] = (out.n_words < MIN_WORDS) | (100 * out.n_repeat_words > MAX_WINDOW_PERCENT * out.n_words)
                 fails = (out.covered_words > max_covered * out.n_words) | (out.longest_repeat > max_longest)
