@@ -1,9 +1,11 @@
 """Operators for training corpora and their registered queries."""
 
+from loadsieve.llm.classifier import op10_nb_svm_quality
 from loadsieve.llm.packing import op5_bin_completion
 from loadsieve.llm.repetition import op1_suffix_array_repetition
 from loadsieve.llm.shards import op6_jump_shards
 from loadsieve.llm.simhash import op7_simhash_byte_index
+from loadsieve.llm.topk import TOPK_SQL, op9_ball_tree_topk
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +14,8 @@ QUERIES = {
         op5_bin_completion,
         op6_jump_shards,
         op7_simhash_byte_index,
+        op9_ball_tree_topk,
+        op10_nb_svm_quality,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op9_ball_tree_topk": TOPK_SQL}
