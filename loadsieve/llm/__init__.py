@@ -1,6 +1,7 @@
 """Operators for training corpora and their registered queries."""
 
 from loadsieve.llm.classifier import op10_nb_svm_quality
+from loadsieve.llm.mixing import op3_pivotal_mixing
 from loadsieve.llm.packing import op5_bin_completion
 from loadsieve.llm.repetition import op1_suffix_array_repetition
 from loadsieve.llm.shards import op6_jump_shards
@@ -11,6 +12,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_repetition,
+        op3_pivotal_mixing,
         op5_bin_completion,
         op6_jump_shards,
         op7_simhash_byte_index,
