@@ -21,7 +21,7 @@ from loadsieve.llm.common import table, word_count
 from loadsieve.session import saved
 
 LEAF = 24
-FAN = 24
+FAN = 96
 MOST = 3.0
 SEED = 20_240_607
 
