@@ -7,6 +7,7 @@ from loadsieve.llm.repetition import op1_suffix_array_repetition
 from loadsieve.llm.shards import op6_jump_shards
 from loadsieve.llm.simhash import op7_simhash_byte_index
 from loadsieve.llm.topk import TOPK_SQL, op9_ball_tree_topk
+from loadsieve.llm.urls import op8_path_templates
 
 QUERIES = {
     f.__name__: f
@@ -16,6 +17,7 @@ QUERIES = {
         op5_bin_completion,
         op6_jump_shards,
         op7_simhash_byte_index,
+        op8_path_templates,
         op9_ball_tree_topk,
         op10_nb_svm_quality,
     )
