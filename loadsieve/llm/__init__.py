@@ -4,6 +4,7 @@ from loadsieve.llm.classifier import op10_nb_svm_quality
 from loadsieve.llm.mixing import op3_pivotal_mixing
 from loadsieve.llm.packing import op5_bin_completion
 from loadsieve.llm.repetition import op1_suffix_array_repetition
+from loadsieve.llm.secrets import op4_trigram_index, secrets_sql
 from loadsieve.llm.shards import op6_jump_shards
 from loadsieve.llm.simhash import op7_simhash_byte_index
 from loadsieve.llm.topk import TOPK_SQL, op9_ball_tree_topk
@@ -14,6 +15,7 @@ QUERIES = {
     for f in (
         op1_suffix_array_repetition,
         op3_pivotal_mixing,
+        op4_trigram_index,
         op5_bin_completion,
         op6_jump_shards,
         op7_simhash_byte_index,
@@ -22,4 +24,4 @@ QUERIES = {
         op10_nb_svm_quality,
     )
 }
-ORACLES = {"op9_ball_tree_topk": TOPK_SQL}
+ORACLES = {"op4_trigram_index": secrets_sql(), "op9_ball_tree_topk": TOPK_SQL}
