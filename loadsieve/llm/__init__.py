@@ -7,6 +7,7 @@ from loadsieve.llm.repetition import op1_suffix_array_repetition
 from loadsieve.llm.secrets import op4_trigram_index, secrets_sql
 from loadsieve.llm.shards import op6_jump_shards
 from loadsieve.llm.simhash import op7_simhash_byte_index
+from loadsieve.llm.surrogates import op2_surrogates
 from loadsieve.llm.topk import TOPK_SQL, op9_ball_tree_topk
 from loadsieve.llm.urls import op8_path_templates
 
@@ -14,6 +15,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_repetition,
+        op2_surrogates,
         op3_pivotal_mixing,
         op4_trigram_index,
         op5_bin_completion,
