@@ -7,24 +7,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadsieve.llm.mixing import mixed
+from loadsieve.llm.packing import pack_pieces, token_pieces
 from loadsieve.llm.repetition import judge_repetition
-from loadsieve.llm.simhash import near_duplicates
+from loadsieve.llm.simhash import one_per_group
+from loadsieve.llm.surrogates import replace_entities, secret_key
 from loadsieve.session import saved
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep."""
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the repetition rules keep."""
     return judge_repetition(docs).where("kept").select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_per_group(docs)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Surrogates in place of personal data; n_chars follows the new text."""
+    done = replace_entities(docs, secret_key(spark)).drop("entities")
+    return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mix and their places in sequences."""
+    return pack_pieces(token_pieces(docs))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality),
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("pii", pii),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
+# tokenizing and packing have no SQL; the tests hold the pipeline against a brute-force version
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs

@@ -6,7 +6,7 @@ Words aren't created or lost by a move, and every document keeps its expected nu
 about LEAF documents of like size, then FAN blocks' remainders at a time, level by level, until one document per source remains, which is rounded to the nearest. So
 a source's words miss its target by half a document at most. A level is one grouped fold; a block's size is bounded, whatever the source.
 
-Everything is built-in functions. Draws are hashes of the two documents, so that reruns agree, however the rows are dealt. Rows alike in doc_id, source and size are one
+Everything is built-in functions. Draws are hashes of the two documents, so that reruns agree, however the rows are dealt. Rows alike in key, source and size are one
 unit of many and are expanded at the end. Documents without words are taken 0 times, of null texts too. The null source is a source, the last. Empty tables give empty results.
 """
 
@@ -77,24 +77,24 @@ def folded(members: Column, level: int) -> Column:
     return F.aggregate(F.slice(members, 2, F.greatest(F.size(members) - 1, F.lit(0))), F.struct(nothing.alias("decided"), first.alias("rest")), meet)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of every document (columns doc_id, source, text)."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    units = saved(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "units")
+def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), weights: tuple[int, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
+    """keys, source, size, source_size, target, copies, taken of every document. docs: keys (what tells documents apart), source, text."""
+    sized = docs.select(*keys, "source", word_count(F.col("text")).alias("size"))
+    units = saved(sized.groupBy(*keys, "source", "size").agg(F.count("*").alias("rows")), "units")
     sources = saved(source_targets(units, weights, most), "targets")
     ratio = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(0.0)
     known = units.join(sources, units["source"].eqNullSafe(sources["source"])).select(
-        "doc_id", units["source"], "size", "rows", "sid", "source_size", "target", F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("part")
+        *keys, units["source"], "size", "rows", "sid", "source_size", "target", F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("part")
     )
     # of a unit of several rows, the whole part of rows * part is certain
     known = known.withColumn("sure", F.floor(F.col("rows") * F.col("part"))).withColumn("chance", F.col("rows") * F.col("part") - F.col("sure"))
     per_size = known.where("size > 0").groupBy("sid", "size").agg(F.ceil(F.count("*") / F.lit(LEAF)).alias("leaves"))
     per_size = per_size.selectExpr("sid AS s", "size AS z", "leaves", "sum(leaves) OVER (PARTITION BY sid ORDER BY size DESC) - leaves AS before")
-    unit = F.struct("doc_id", "source", "size", "rows", "source_size", "target", "base", "sure")
+    unit = F.struct(*keys, "source", "size", "rows", "source_size", "target", "base", "sure")
     placed = known.where("size > 0").join(per_size, (F.col("sid") == F.col("s")) & (F.col("size") == F.col("z"))).select(
         "sid",
-        (F.col("before") + F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.col("leaves"))).alias("leaf"),
-        F.struct("size", F.xxhash64("doc_id").alias("hash"), unit.alias("unit"), "chance").alias("member"),
+        (F.col("before") + F.pmod(F.xxhash64(F.lit(SEED), *keys), F.col("leaves"))).alias("leaf"),
+        F.struct("size", F.xxhash64(*keys).alias("hash"), unit.alias("unit"), "chance").alias("member"),
     )
     last = per_size.agg(F.max(F.col("before") + F.col("leaves"))).first()[0] or 0
     level, decided = 0, []
@@ -112,7 +112,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = MOS
     one = every.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("n"))
     extra = (F.col("n") <= F.col("sure") + F.col("more").cast("int")).cast("long")
     copies = F.when(F.col("size") > 0, F.col("base") + extra).otherwise(F.lit(0)).cast("long")
-    return one.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return one.select(*keys, "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
+    """The documents of the mix, each as often as it is taken. Rows alike in doc_id, source and text are one document of so many rows."""
+    keyed = docs.withColumn("_one", F.xxhash64("doc_id", "source", "text")).withColumn("_two", F.xxhash64(F.lit(1), "doc_id", "source", "text"))
+    taken = mix(keyed, ("_one", "_two"), weights, most).groupBy("_one", "_two").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    once = keyed.join(taken, ["_one", "_two"]).dropDuplicates(["_one", "_two"])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,14 +104,31 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 2) -> DataFrame:
     return lists.mapInArrow(linked, "a long, b long")
 
 
+def fingerprint_groups(marked: DataFrame, max_bits: int = 2) -> DataFrame:
+    """fp, root of every distinct fingerprint of marked; fingerprints that are reachable from each other share a root."""
+    distinct = marked.select("fp").distinct()
+    roots = components(fingerprint_links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id of the documents that are reachable over near fingerprints."""
     marked = saved(with_fingerprints(docs.select("doc_id", "text"), shingle=shingle), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(fingerprint_links(distinct, max_bits))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.join(least, "root").select("fp", "component_id"), "fp")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    placed = least.join(fingerprint_groups(marked, max_bits), "fp")
+    groups = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(placed.join(groups, "root").select("fp", "component_id"), "fp")
+
+
+def one_per_group(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> DataFrame:
+    """docs with one document of each group: that of the smallest doc_id, nulls last (of several texts with that id, the one of the smallest hash)."""
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
+    marked = saved(with_fingerprints(docs.select(key.alias("key"), "text"), shingle=shingle), "fingerprints")
+    least = marked.groupBy("fp").agg(F.min("key").alias("key"))
+    kept = least.join(fingerprint_groups(marked, max_bits), "fp").groupBy("root").agg(F.min("key").alias("key"))
+    kept = kept.select(F.xxhash64("key").alias("_one"), F.xxhash64(F.lit(1), "key").alias("_two"))
+    keyed = docs.withColumn("_one", F.xxhash64(key)).withColumn("_two", F.xxhash64(F.lit(1), key))
+    return keyed.join(kept, ["_one", "_two"], "left_semi").dropDuplicates(["_one", "_two"]).drop("_one", "_two")
 
 
 def op7_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
