@@ -134,6 +134,19 @@ def decimal_of(t: Column, precision: int, scale: int) -> Column:
     return _checked(number_text_of(t), NUMBER, f"decimal({precision},{scale})")
 
 
+WHOLE = "decimal(38,0)"
+
+
+def whole_of(t: Column, plain: bool = False) -> Column:
+    """A number rounded to a whole one (halves away from zero), exact for up to 38 digits; null
+    beyond. Text with an exponent goes through a decimal of 10 places, which holds every integer type."""
+    text = t if plain else number_text_of(t)
+    return F.coalesce(
+        F.when(text.rlike("^[-+]?[0-9]+$"), text.try_cast(WHOLE)),
+        F.round(_checked(text, NUMBER, "decimal(38,10)"), 0).try_cast(WHOLE),
+    )
+
+
 def bool_of(t: Column) -> Column:
     low = F.lower(t)
     return F.when(low.isin(*TRUE_WORDS), F.lit(True)).when(low.isin(*FALSE_WORDS), F.lit(False))

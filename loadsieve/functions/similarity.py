@@ -115,8 +115,10 @@ def _suggest(target: str, keys: Sequence[str]) -> tuple[int, float]:
     return best_at, best
 
 
-@pandas_udf(BEST_TYPE)
-def best_suggestion(target: pd.Series, keys: pd.Series) -> pd.DataFrame:
-    """struct(position, ratio) of the left-out header that suits a missing target best."""
-    found = [_suggest(t, k) for t, k in zip(target, keys)]
-    return pd.DataFrame(found, columns=["position", "ratio"])
+@pandas_udf(T.ArrayType(BEST_TYPE))
+def best_suggestions(targets: pd.Series, keys: pd.Series) -> pd.Series:
+    """For each missing target of a row, struct(position, ratio) of the left-out header that suits it best."""
+    out = []
+    for ts, ks in zip(targets, keys):
+        out.append([dict(zip(("position", "ratio"), _suggest(t, ks))) for t in ts])
+    return pd.Series(out, dtype="object")

@@ -1,8 +1,8 @@
 """Header names, repeated headers and header-row detection, many feeds in one job.
 
 Header frames hold one row per source column: feed_id, ordinal (from 1), raw_header. The width
-of a feed is bounded by the sheet format, and `bounded_ordinal` enforces it, so every group
-"per feed" or "per feed and key" is bounded as well.
+of a feed is that of its file's header line, so a group "per feed" or "per feed and key" is never
+larger than one line.
 """
 
 from __future__ import annotations
@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 from loadsieve.functions.similarity import DEFAULT_THRESHOLD, best_of_known
 from loadsieve.functions.text import canonical_key, canonical_key_py, is_unnamed, safe_text, strip, text_array
 
-# The column limit of the sheet format, the rows looked at when a header row is
-# searched, the score that ends the search and the score a stored header row must reach.
-MAX_SHEET_COLUMNS = 16384
+# The rows looked at when a header row is searched, the score that ends the search and the score a stored header row must reach.
 PREVIEW_ROWS = 25
 EARLY_STOP_SCORE = 200.0
 HEADER_MIN_SCORE = 10.0
@@ -27,11 +25,6 @@ DOT_REPEAT = "^(.*)[.]([0-9]+)$"
 NUMBERED = "^(.*?)([0-9]+)$"
 
 
-def bounded_ordinal(c: Column) -> Column:
-    message = F.lit(f"a feed has more than {MAX_SHEET_COLUMNS} columns")
-    return F.when(c <= MAX_SHEET_COLUMNS, c).otherwise(F.raise_error(message).cast("int"))
-
-
 def is_dot_repeat(header: Column) -> Column:
     """X.1, X.2, ...: how readers label a repeated header."""
     return strip(header).rlike("[.][0-9]+$")
@@ -52,7 +45,6 @@ def _with_base(headers: DataFrame) -> DataFrame:
     numbered = t.rlike(NUMBERED) & ~t.rlike(DOT_REPEAT)
     rows = headers.withColumns(
         {
-            "ordinal": bounded_ordinal(F.col("ordinal")),
             "txt": t,
             "number": F.when(numbered, _group(t, NUMBERED, 2).try_cast("decimal(38,0)")),
             "base": F.when(numbered, strip(_group(t, NUMBERED, 1))),

@@ -9,11 +9,14 @@ Frames:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadsieve.functions.similarity import DEFAULT_THRESHOLD, best_of, best_suggestion
+from loadsieve.functions.parsers import parse_default_literal
+from loadsieve.functions.similarity import DEFAULT_THRESHOLD, best_of, best_suggestions
 from loadsieve.functions.text import (
     canonical_key,
     canonical_key_v1,
@@ -21,16 +24,15 @@ from loadsieve.functions.text import (
     snake_name,
     strip,
 )
+from loadsieve.operators.cleaning import keep_rows
 from loadsieve.operators.headers import DOT_REPEAT, _dot_name, is_dot_repeat, name_headers
+from loadsieve.plans.spec import ColumnMeta
+from loadsieve.session import saved, small_frame
 
 # Target of a header that is left out, and the methods that need no review.
 IGNORE = "__IGNORAR__"
 SURE_METHODS = ("mapping_ini", "config_map", "exact")
 
-# Widest table of the target database; makes one array per target table a bounded value.
-MAX_TABLE_COLUMNS = 1600
-
-
 def rule_key(raw_header: Column) -> Column:
     """Key of a remembered header: the key its repeat-aware name gets at lookup."""
     t = strip(raw_header)
@@ -64,33 +66,31 @@ def merge_rules(store: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def target_arrays(targets: DataFrame) -> DataFrame:
-    """One row per target table: its columns and their keys in ordinal order.
-
-    A table has at most MAX_TABLE_COLUMNS columns with distinct keys; both are checked.
-    """
+    """One row per target table: its columns and their keys in ordinal order, keys distinct."""
     packed = F.sort_array(F.collect_list(F.struct("ordinal", "target")))
     arrays = targets.groupBy("target_table").agg(packed.alias("cols"))
     names = F.transform("cols", lambda x: x["target"])
     keys = F.transform("cols", lambda x: canonical_key(x["target"]))
     arrays = arrays.select("target_table", names.alias("names"), keys.alias("keys"))
-    wide = F.size("keys") > MAX_TABLE_COLUMNS
     clash = F.size(F.array_distinct("keys")) < F.size("keys")
-    fail = F.raise_error(F.concat(F.lit("too many or clashing column names in "), F.col("target_table")))
-    return arrays.withColumn("keys", F.when(wide | clash, fail.cast("array<string>")).otherwise(F.col("keys")))
+    fail = F.raise_error(F.concat(F.lit("clashing column names in "), F.col("target_table")))
+    return arrays.withColumn("keys", F.when(clash, fail.cast("array<string>")).otherwise(F.col("keys")))
 
 
 def best_matches(keys: DataFrame, targets: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Best target per (target_table, key) at or above the threshold, first on ties.
 
     Each distinct key is compared once, inside its row, with the columns of its table: no pair
-    of a header and a column ever becomes a row.
+    of a header and a column ever becomes a row. Keys are spread before they meet the arrays,
+    one row per target table in a saved table, which the planner sends to them; the comparison
+    is pinned to that place, so no filter or projection can repeat it.
     """
-    distinct = keys.select("target_table", "key").distinct()
-    # a table used by most feeds would put all its keys into one task; spread them again
-    rows = distinct.join(target_arrays(targets), "target_table").repartition("target_table", "key")
-    found = rows.withColumn("best", best_of(F.col("key"), F.col("keys"), threshold))
-    hit = F.col("best.position") >= 0
-    return found.filter(hit).select(
+    arrays = saved(target_arrays(targets), "target-arrays")
+    distinct = keys.select("target_table", "key").distinct().repartition("target_table", "key")
+    rows = distinct.join(arrays.select("target_table", "keys"), "target_table")
+    found = rows.select("target_table", "key", best_of(F.col("key"), F.col("keys"), threshold).alias("best"))
+    hits = keep_rows(found, F.col("best.position") >= 0, [F.col("target_table"), F.col("key"), F.col("best")])
+    return hits.join(arrays.select("target_table", "names"), "target_table").select(
         "target_table",
         "key",
         F.element_at("names", F.col("best.position") + 1).alias("best_target"),
@@ -193,6 +193,22 @@ def alias_mapping(headers: DataFrame, aliases: DataFrame) -> DataFrame:
     )
 
 
+def alias_proposal(headers: DataFrame, aliases: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """A mapping frame from the alias table: headers whose alias is a target column."""
+    named = alias_mapping(headers, aliases).select("feed_id", "ordinal", "column_name")
+    known = F.col("column_name").isin(*targets)
+    return headers.join(named, ["feed_id", "ordinal"]).select(
+        "feed_id",
+        "target_table",
+        "ordinal",
+        "raw_header",
+        snake_name(F.col("raw_header")).alias("snake"),
+        F.when(known, F.col("column_name")).otherwise(IGNORE).alias("target"),
+        F.when(known, "config_map").otherwise("excel_extra").alias("method"),
+        F.when(known, 1.0).otherwise(0.0).alias("score"),
+    )
+
+
 def auto_confirm(mapping: DataFrame) -> DataFrame:
     """Per feed: may the mapping be used without review?"""
     kept = F.col("target") != IGNORE
@@ -219,11 +235,36 @@ def missing_columns(mapping: DataFrame, feeds: DataFrame, targets: DataFrame) ->
         .groupBy("feed_id")
         .agg(F.collect_set("target").alias("present"))
     )
-    rows = feeds.join(present, "feed_id", "left").join(target_arrays(targets), "target_table")
+    # one row per target table, a saved table of known size
+    arrays = saved(target_arrays(targets).select("target_table", "names"), "target-names")
+    rows = feeds.join(present, "feed_id", "left").join(arrays, "target_table")
     absent = F.array_except("names", F.coalesce("present", F.array().cast("array<string>")))
     return rows.select("feed_id", "target_table", F.explode(absent).alias("target"))
 
 
+def with_defaults(missing: DataFrame, defaults: DataFrame) -> DataFrame:
+    """Missing columns with default_expr, whether it is a literal, and the literal's value.
+
+    `defaults`: target_table, target, column_default; one row per column of the target tables.
+    """
+    literal = parse_default_literal(F.col("default_expr"))
+    rows = missing.join(defaults.withColumnRenamed("column_default", "default_expr"), ["target_table", "target"], "left")
+    return rows.select(
+        *missing.columns,
+        "default_expr",
+        literal["kind"].isNotNull().alias("has_literal_default"),
+        literal["value"].alias("default_value"),
+    )
+
+
+def missing_plan(missing: DataFrame, columns: Sequence[ColumnMeta]) -> DataFrame:
+    """Missing columns of one table with what its catalogue says about their defaults."""
+    pairs = [(c.name, c.column_default) for c in columns]
+    known = small_frame(missing.sparkSession, pairs, "target STRING, column_default STRING")
+    tables = missing.select("target_table").distinct()
+    return with_defaults(missing, tables.join(F.broadcast(known)))
+
+
 def coverage(mapping: DataFrame, missing: DataFrame) -> DataFrame:
     """Per feed: source columns, mapped, left out and missing ones."""
     counts = mapping.groupBy("feed_id").agg(
@@ -250,29 +291,27 @@ def suggest(mapping: DataFrame, missing: DataFrame, threshold: float = DEFAULT_T
             F.transform("left_out", lambda x: canonical_key(x["raw_header"])).alias("left_keys"),
         )
     )
-    gaps = missing.groupBy("feed_id").agg(F.collect_list("target").alias("gaps"))
+    gaps = missing.groupBy("feed_id").agg(F.sort_array(F.collect_list("target")).alias("gaps"))
     none = F.array().cast("array<string>")
-    rows = (
-        gaps.join(left_out, "feed_id", "left")
-        .withColumns(
-            {
-                "left_headers": F.coalesce("left_headers", none),
-                "left_keys": F.coalesce("left_keys", none),
-            }
-        )
-        .withColumn("only_one", (F.size("left_keys") == 1) & (F.size("gaps") == 1))
-        .select("feed_id", "left_headers", "left_keys", "only_one", F.explode("gaps").alias("target"))
-        .withColumn("best", best_suggestion(canonical_key(F.col("target")), F.col("left_keys")))
+    rows = gaps.join(left_out, "feed_id", "left").select(
+        "feed_id",
+        "gaps",
+        F.coalesce("left_headers", none).alias("left_headers"),
+        F.coalesce("left_keys", none).alias("left_keys"),
     )
-    header = F.when(
-        F.col("best.position") >= 0, F.element_at("left_headers", F.col("best.position") + 1)
-    ).when(~F.col("only_one"), "")
-    return rows.select(
+    gap_keys = F.transform("gaps", lambda x: canonical_key(x))
+    # one comparison per feed: its missing columns against its left-out headers, no copies of either
+    rows = rows.repartition("feed_id").withColumn("best", best_suggestions(gap_keys, F.col("left_keys")))
+    only_one = (F.size("left_keys") == 1) & (F.size("gaps") == 1)
+    hint = lambda x: F.when(x["position"] >= 0, F.get("left_headers", x["position"]))
+    found = F.zip_with("gaps", "best", lambda t, x: F.struct(t.alias("target"), hint(x).alias("header"), x["ratio"].alias("ratio")))
+    each = rows.select("feed_id", only_one.alias("only_one"), F.explode(found).alias("s"))
+    return each.select(
         "feed_id",
-        "target",
-        header.alias("suggested_header"),
-        F.round("best.ratio", 4).alias("score"),
-        ((F.col("best.ratio") >= threshold) | F.col("only_one")).alias("useful"),
+        "s.target",
+        F.coalesce("s.header", F.when(~F.col("only_one"), "")).alias("suggested_header"),
+        F.round("s.ratio", 4).alias("score"),
+        ((F.col("s.ratio") >= threshold) | F.col("only_one")).alias("useful"),
     )
 
 

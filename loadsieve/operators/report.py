@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadsieve.operators.cleaning import ERRORS_COLUMN
+from loadsieve.session import saved
 
 # Status marks of a load and the number of reasons shown.
 STATUS_OK = "_OK"
@@ -65,21 +66,33 @@ def load_status(loads: DataFrame) -> DataFrame:
     return loads.withColumn("status", status(F.col("rows_valid"), F.col("rows_invalid"), first))
 
 
+def first_loads(loads: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """load_id, first_load_id of every retry: the load at the start of its chain of parents.
+
+    Every round doubles the distance each retry looks up its chain, and is a saved table.
+    """
+    at = saved(loads.filter(F.col("parent_load_id").isNotNull()).select("load_id", F.col("parent_load_id").alias("up")), "retry-parents")
+    for turn in range(max_rounds):
+        above = at.select(F.col("load_id").alias("up"), F.col("up").alias("further"))
+        if at.join(above, "up", "left_semi").isEmpty():
+            return at.withColumnRenamed("up", "first_load_id")
+        at = saved(at.join(above, "up", "left").select("load_id", F.coalesce("further", "up").alias("up")), f"retry-parents-{turn}")
+    raise ValueError("a load is its own retry")
+
+
 def retry_status(loads: DataFrame) -> DataFrame:
-    """First loads with the status they have after their retries.
+    """First loads with the status they have after their retries and the retries of those.
 
-    A retry is complete when all its rows went in; a complete retry turns its parent's partial
-    mark into OK. Children are reduced to one row per parent before the join.
+    A load is complete when its retries brought in as many rows as it had rejected (a reject is
+    brought in once); that turns its partial mark into OK.
     """
-    done = (F.col("rows_valid") == F.col("rows_read")) & (F.col("rows_invalid") == 0)
-    children = (
-        loads.filter(F.col("parent_load_id").isNotNull())
-        .groupBy(F.col("parent_load_id").alias("load_id"))
-        .agg(F.count("*").alias("retries"), F.bool_or(done).alias("completed"))
+    rows_of = first_loads(loads).join(loads.select("load_id", "rows_valid"), "load_id")
+    chains = rows_of.groupBy(F.col("first_load_id").alias("load_id")).agg(
+        F.count("*").alias("retries"), F.sum("rows_valid").alias("loaded")
     )
     parents = load_status(loads).filter(F.col("parent_load_id").isNull())
-    rows = parents.join(children, "load_id", "left")
-    completed = F.coalesce("completed", F.lit(False))
+    rows = parents.join(chains, "load_id", "left")
+    completed = F.coalesce(F.col("loaded") >= F.col("rows_invalid"), F.lit(False))
     final = F.when(completed & (F.col("status") == STATUS_PARTIAL), STATUS_OK).otherwise(F.col("status"))
     return rows.select(
         "load_id",

@@ -79,15 +79,17 @@ def compile_rule(meta: ColumnMeta, spec: LoadSpec) -> Rule:
     if family == "decimal":
         return Rule(meta, P.decimal_of(raw, *meta.precision), unread, got)
     number = P.plain_number_of(raw) if spec.plain_numbers_only else P.number_of(raw)
-    bad = unread
     if family == "integer":
-        # the database rounds a fraction and refuses a number out of range
-        limit = float(2 ** (_INTEGER_BITS[meta.spark_type] - 1))
-        whole = F.round(P.storage_number(got))
-        fits = whole.between(-limit, limit - 1) if meta.spark_type != "bigint" else (whole >= -limit) & (whole < limit)
-        bad = bad | ~F.coalesce(fits, F.lit(True))
-        return Rule(meta, number, bad, F.when(fits, whole.cast(meta.spark_type)))
-    return Rule(meta, number, bad, P.storage_number(got).cast(meta.spark_type))
+        # exact to the last digit; the database rounds a fraction and refuses a number out of range
+        exact = P.whole_of(raw, plain=spec.plain_numbers_only)
+        limit = 2 ** (_INTEGER_BITS[meta.spark_type] - 1)
+        whole = got["whole"]
+        fits = (whole >= F.lit(-limit).cast(P.WHOLE)) & (whole <= F.lit(limit - 1).cast(P.WHOLE))
+        unread = raw.isNotNull() & got["number"].isNull()
+        # infinity is read and stored as null; any other number without a whole is out of range
+        beyond = P.storage_number(got["number"]).isNotNull() & ~F.coalesce(fits, F.lit(False))
+        return Rule(meta, F.struct(number.alias("number"), exact.alias("whole")), unread | beyond, F.when(fits, whole.cast(meta.spark_type)))
+    return Rule(meta, number, unread, P.storage_number(got).cast(meta.spark_type))
 
 
 def _date_rule(meta: ColumnMeta, spec: LoadSpec, raw: Column, got: Column) -> Rule:

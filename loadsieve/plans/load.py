@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,8 @@ from loadsieve.operators.cleaning import (
     is_summary_row,
     keep_rows,
 )
-from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns
-from loadsieve.operators.validate import validate
+from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns, top_errors
+from loadsieve.operators.validate import annotate, validate
 from loadsieve.plans.spec import LoadSpec
 from loadsieve.session import saved, small_frame
 from loadsieve.sources import grid
@@ -32,12 +33,35 @@ LAYOUT = "__layout"
 
 @dataclass(frozen=True)
 class MappedFiles:
-    """Rows of a set of files under target names, and how the names were found."""
+    """Rows of a set of files under target names, and how the names were found.
+
+    `missing` lists target columns no header maps to, with what their defaults say; the other
+    frames are the reports of a load: counts per file, hints for the missing columns, and whether
+    a file's mapping may go unreviewed.
+    """
 
     rows: DataFrame
     mapping: DataFrame
     header_rows: DataFrame
     missing: DataFrame
+    threshold: float
+
+    @property
+    def coverage(self) -> DataFrame:
+        return M.coverage(self.mapping, self.missing)
+
+    @property
+    def suggestions(self) -> DataFrame:
+        return M.suggest(self.mapping, self.missing, self.threshold)
+
+    @property
+    def auto_confirm(self) -> DataFrame:
+        return M.auto_confirm(self.mapping)
+
+    def needs_review(self) -> bool:
+        """Whether some file's mapping is not sure; a file without a usable header is not."""
+        sure = self.auto_confirm.where("auto_confirm").select(F.col("feed_id").alias("file"))
+        return not self.header_rows.join(sure, "file", "left_anti").isEmpty()
 
 
 @dataclass(frozen=True)
@@ -50,20 +74,31 @@ class LoadResult:
     target_path: str
     rejects_path: str
     staged_path: str
+    annotated_path: str = ""
+
+    def top_reasons(self, spark: SparkSession) -> DataFrame:
+        """Most frequent reasons among this load's rejects."""
+        mine = spark.read.parquet(self.rejects_path).filter(F.col("load_id") == self.load_id)
+        return top_errors(mine)
 
 
 @dataclass(frozen=True)
 class LoadPaths:
-    """Where a target's rows, rejects, staged loads and ledger live (shared storage)."""
+    """Where a target's rows, rejects, staged and annotated loads, ledger, remembered mapping and
+    header positions live (shared storage)."""
 
     target: str
     rejects: str
     staged: str
     ledger: str
+    annotated: str
+    rules: str
+    header_rows: str
 
     @classmethod
     def under(cls, base: str) -> LoadPaths:
-        return cls(f"{base}/target", f"{base}/rejects", f"{base}/staged", f"{base}/ledger")
+        names = ("target", "rejects", "staged", "ledger", "annotated", "rules", "header_rows")
+        return cls(*[f"{base}/{n}" for n in names])
 
 
 @dataclass(frozen=True)
@@ -96,18 +131,21 @@ def map_files(
     stored_headers: DataFrame | None = None,
     delimiter: str = "|",
     quoted: bool = False,
+    aliases: DataFrame | None = None,
 ) -> MappedFiles:
     """Find each file's header row, map its headers to the target, and lay its rows out.
 
-    Files may differ in layout: each file's layout is one small row (target column to cell
-    position), joined together with the row offsets of the file's blocks, so all files go
-    through one plan and the lines themselves meet a single join. Preview, header rows, headers
-    and mapping are small tables that are saved as they are found.
+    Files may differ in layout: each file's layout is one small row (the cell position of every
+    target column, in target order), joined together with the row offsets of the file's blocks, so
+    all files go through one plan and the lines themselves meet a single join. The text is read
+    twice: once for the block table, which also holds the first rows, and once for the load.
+    `aliases` (key, alias) takes the place of matching: headers are renamed by that table only.
     """
     lines = grid.scan_lines(spark, path)
-    split = grid.split_quoted if quoted else grid.split_cells
-    top = saved(grid.preview(lines), "preview").select(
-        "file", "row_no", split(F.col("line"), delimiter).alias("cells")
+    blocks = grid.scan_blocks(lines, max(H.PREVIEW_ROWS, spec.header_row or 0))
+    rows_seen = max(H.PREVIEW_ROWS, spec.header_row or 0)
+    top = saved(grid.preview(blocks, rows_seen), "preview").select(
+        "file", "row_no", grid.cells_of(F.col("line"), delimiter, quoted).alias("cells")
     )
     names = [m.name for m in spec.inputs]
     scored = saved(H.score_rows(top, names, spec.threshold).drop("cells"), "header-scores")
@@ -115,32 +153,32 @@ def map_files(
     nothing = small_frame(spark, [], "target_table STRING, file STRING, header_row INT")
     asked = files.withColumn("header_row", F.lit(spec.header_row)) if spec.header_row else nothing
     kept = stored_headers if stored_headers is not None else nothing
-    header_rows = saved(H.resolve_header(files, asked, kept, scored, H.detect_header(scored)), "header-rows")
+    found = H.detect_header(scored.where(F.col("row_no") < H.PREVIEW_ROWS))
+    header_rows = saved(H.resolve_header(files, asked, kept, scored, found), "header-rows")
 
     headers = grid.header_cells(top, header_rows).withColumn("target_table", F.lit(spec.target))
     headers = saved(headers.filter(F.lower(F.trim("raw_header")) != ERRORS_COLUMN), "headers")
     targets = spec_targets(spark, spec)
-    remembered = rules if rules is not None else spec_rules(spark, spec).limit(0)
-    mapping = saved(
-        M.propose_mapping(headers, targets, spec_rules(spark, spec), remembered, spec.threshold), "mapping"
-    )
+    if aliases is None:
+        remembered = rules if rules is not None else spec_rules(spark, spec).limit(0)
+        mapping = M.propose_mapping(headers, targets, spec_rules(spark, spec), remembered, spec.threshold)
+    else:
+        mapping = M.alias_proposal(headers, aliases, names)
+    mapping = saved(mapping, "mapping")
     feeds = files.select(F.col("file").alias("feed_id"), "target_table")
-    missing = M.missing_columns(mapping, feeds, targets)
+    missing = M.missing_plan(M.missing_columns(mapping, feeds, targets), spec.columns)
 
     entry = F.struct("column_name", "ordinal")
     layouts = M.column_names(mapping).groupBy(F.col("feed_id").alias("file")).agg(
-        F.map_from_entries(F.collect_list(entry)).alias(LAYOUT)
+        F.map_from_entries(F.collect_list(entry)).alias("by_name")
     )
-    placed = header_rows.select("file", "header_row").join(layouts, "file", "left")
-    body = grid.number_lines(lines, placed, ["header_row", LAYOUT]).filter(F.col("row_no") > F.col("header_row"))
-    if quoted:
-        width = headers.agg(F.max("ordinal")).first()[0] or 0
-        cells = grid.quoted_cells(F.col("line"), width, delimiter)
-    else:
-        cells = grid.split_cells(F.col("line"), delimiter)
-    at = lambda n: F.try_element_at(F.col("__cells"), F.col(LAYOUT)[n])
-    rows = body.withColumn("__cells", cells).select("file", "row_no", LAYOUT, *[at(n).alias(n) for n in names])
-    return MappedFiles(rows, mapping, header_rows, missing)
+    at = F.array(*[F.try_element_at("by_name", F.lit(n)) for n in names])
+    placed = header_rows.select("file", "header_row").join(layouts, "file", "left").select("file", "header_row", at.alias(LAYOUT))
+    body = grid.number_lines(lines, blocks, placed, ["header_row", LAYOUT]).filter(F.col("row_no") > F.col("header_row"))
+    cells = body.withColumn("__cells", grid.cells_of(F.col("line"), delimiter, quoted))
+    cell = lambda i: F.get("__cells", F.get(LAYOUT, F.lit(i)) - 1)
+    rows = cells.select("file", "row_no", LAYOUT, *[cell(i).alias(n) for i, n in enumerate(names)])
+    return MappedFiles(rows, mapping, header_rows, missing, spec.threshold)
 
 
 def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFrame:
@@ -154,6 +192,9 @@ def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFr
     cleaned = rows.select(*keep, *text)
     present = [F.col(n) for n in names if n in have]
     wanted = F.coalesce(*present).isNotNull() if present else F.lit(True)
+    if LAYOUT in keep:
+        # a file none of whose headers map has no column to be empty in, and keeps its rows
+        wanted = wanted | ~F.exists(LAYOUT, lambda at: at.isNotNull())
     if spec.summary_columns:
         wanted = wanted & ~is_summary_row(*[F.col(n) for n in spec.summary_columns])
     return keep_rows(cleaned, wanted, [F.col(c) for c in cleaned.columns])
@@ -164,7 +205,7 @@ def stage(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ("file", "row_n
     carry = [LAYOUT] if LAYOUT in rows.columns else []
     have = set(rows.columns)
     if carry:
-        absent = {m.name: F.col(LAYOUT)[m.name].isNull() for m in spec.inputs}
+        absent = {m.name: F.get(LAYOUT, F.lit(i)).isNull() for i, m in enumerate(spec.inputs)}
     else:
         absent = {m.name: F.lit(True) for m in spec.inputs if m.name not in have}
     return validate(prepare(rows, spec, [*keep, *carry]), spec, keep, absent=absent, carry=carry)
@@ -189,33 +230,32 @@ def load_rows(
     parent_load_id: str | None = None,
     pre_action: str | DeleteWhere | None = None,
     source: str = "",
+    annotated: bool = False,
 ) -> LoadResult:
     """Stage once, then write rejects and loadable rows from the staged copy.
 
+    Every output of a load is its own folder and written whole, so the same load_id may run again,
+    with the same rows or others, and leaves its last outcome only.
+
     The source is read and parsed once; counts come from the same pass. Rejects are written
     before the target changes, and the target is replaced only by complete, checked data.
     """
     bad = F.col(ERRORS_COLUMN) != ""
     counts = Observation(f"load {load_id}")
     staged = stage(rows, spec, keep).observe(counts, *summary_columns())
-    # loadable rows need no raw text any more
-    slim = staged.withColumns({"raw": F.when(bad, F.col("raw")), "rejected": bad, "load_id": F.lit(load_id)})
-    (
-        slim.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id", "rejected")
-        .parquet(paths.staged)
-    )
+    # loadable rows need no raw text any more, but for an annotated copy of the source
+    slim = staged.withColumns({"raw": F.when(bad | F.lit(annotated), F.col("raw")), "rejected": bad})
+    folder = sinks.load_folder(spark, paths.staged, load_id)
+    slim.write.mode("overwrite").partitionBy("rejected").parquet(folder)
     seen = counts.get
     # reading back with a known schema spares a footer scan and stands an empty outcome
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in staged.schema.fields])
-    schema = schema.add("load_id", "string").add("rejected", "boolean")
-    mine = spark.read.schema(schema).parquet(paths.staged).filter(F.col("load_id") == load_id)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in staged.schema.fields]).add("rejected", "boolean")
+    mine = spark.read.schema(schema).parquet(folder)
 
-    if seen["rows_invalid"]:
-        raw = [F.col(f"raw.{m.name}").alias(m.name) for m in spec.inputs]
-        rejects = mine.filter(F.col("rejected")).select(*keep, *raw, ERRORS_COLUMN)
-        sinks.write_load(rejects, paths.rejects, load_id)
+    raw = [F.col(f"raw.{m.name}").alias(m.name) for m in spec.inputs]
+    sinks.write_load(mine.filter(F.col("rejected")).select(*keep, *raw, ERRORS_COLUMN), paths.rejects, load_id)
+    if annotated:
+        sinks.write_load(annotate(mine, spec, keep), paths.annotated, load_id)
 
     final = final_columns(mine.filter(~F.col("rejected")), spec, load_time)
     target = paths.target
@@ -225,28 +265,100 @@ def load_rows(
     elif first and isinstance(pre_action, DeleteWhere):
         target = pre_action.new_path
         sinks.write_replace_where(final, spark, paths.target, target, pre_action.condition, load_id)
-    elif seen["rows_valid"]:
+    else:
         sinks.write_load(final, target, load_id)
 
     status = None
     if seen["rows_valid"] and first:
         status = STATUS_PARTIAL if seen["rows_invalid"] else STATUS_OK
-    _log(spark, paths.ledger, load_id, parent_load_id, source, seen, load_time)
+    _log(spark, paths, load_id, parent_load_id, source, seen, load_time, keep)
     return LoadResult(
-        load_id, seen["rows_read"], seen["rows_valid"], seen["rows_invalid"], status, target, paths.rejects, paths.staged
+        load_id,
+        seen["rows_read"],
+        seen["rows_valid"],
+        seen["rows_invalid"],
+        status,
+        target,
+        paths.rejects,
+        folder,
+        sinks.load_folder(spark, paths.annotated, load_id) if annotated else "",
     )
 
 
-def _log(spark, ledger, load_id, parent, source, seen, load_time) -> None:
-    version = int(load_time.timestamp() * 1000)
-    events = [(load_id, parent, stores.LOADED, version)]
-    if seen["rows_invalid"] and seen["rows_valid"]:
-        events.append((load_id, parent, stores.RETRY_OPEN, version + 1))
-    if parent and not seen["rows_invalid"] and seen["rows_valid"] == seen["rows_read"]:
-        events.append((parent, None, stores.RETRY_DONE, version + 2))
+def _ledger(spark: SparkSession, paths: LoadPaths) -> DataFrame:
+    return stores.latest_events(stores.read_store(spark, paths.ledger, stores.LEDGER))
+
+
+def _ancestors(ledger: DataFrame, parent: str | None) -> list[Row]:
+    """Latest events of a retry's parent, its parent and so on; a chain is as long as people retry."""
+    found: list[Row] = []
+    while parent is not None and parent not in {r["load_id"] for r in found}:
+        row = ledger.filter(F.col("load_id") == parent).first()
+        if row is None:
+            break
+        found.append(row)
+        parent = row["parent_load_id"]
+    return found
+
+
+def _retries_of(ledger: DataFrame, load_id: str) -> list[str]:
+    """Ids of the retries of a load, and of their retries."""
+    found, new = [], [load_id]
+    while new:
+        rows = ledger.filter(F.col("parent_load_id").isin(new) & ~F.col("load_id").isin([*found, load_id]))
+        new = [r["load_id"] for r in rows.select("load_id").collect()]
+        found += new
+    return found
+
+
+def _loaded_keys(spark: SparkSession, paths: LoadPaths, load_ids: Sequence[str], keep: Sequence[str]) -> DataFrame | None:
+    """Keys of the rows that some loads brought in, from their staged copies."""
+    parts = [spark.read.parquet(sinks.load_folder(spark, paths.staged, i)).where("NOT rejected").select(*keep) for i in load_ids]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _waiting(spark: SparkSession, paths: LoadPaths, ledger: DataFrame, load_id: str, keep: Sequence[str], but: str = "") -> DataFrame:
+    """Keys of a load's rejects that none of its retries (other than one) has brought in."""
+    rejects = spark.read.parquet(sinks.load_folder(spark, paths.rejects, load_id)).select(*keep)
+    loaded = _loaded_keys(spark, paths, [i for i in _retries_of(ledger, load_id) if i != but], keep)
+    return rejects if loaded is None else rejects.join(loaded, list(keep), "left_anti")
+
+
+def _log(spark, paths, load_id, parent, source, seen, load_time, keep) -> None:
+    """Ledger events of a load. A load that has no reject waiting any more is closed with its own
+    counts, whichever of its retries brought the last one in."""
+    before = _ledger(spark, paths)
+    mine = before.filter(F.col("load_id") == load_id).first()
+    version = max(int(load_time.timestamp() * 1000), mine["version"] + 1 if mine else 0)
     counts = (seen["rows_read"], seen["rows_valid"], seen["rows_invalid"])
-    rows = [(i, p, source, *counts, event, v) for i, p, event, v in events]
-    stores.append_store(small_frame(spark, rows, stores.LEDGER).coalesce(1), ledger)
+    rows = [(load_id, parent, source, *counts, stores.LOADED, version)]
+    if seen["rows_invalid"] and seen["rows_valid"]:
+        rows.append((load_id, parent, source, *counts, stores.RETRY_OPEN, version + 1))
+    stores.append_store(small_frame(spark, rows, stores.LEDGER).coalesce(1), paths.ledger)
+    now = _ledger(spark, paths)
+    done = []
+    for r in _ancestors(now, parent):
+        if _waiting(spark, paths, now, r["load_id"], keep).isEmpty():
+            own = (r["rows_read"], r["rows_valid"], r["rows_invalid"])
+            done.append((r["load_id"], r["parent_load_id"], r["source"], *own, stores.RETRY_DONE, max(version, r["version"] + 1)))
+    if done:
+        stores.append_store(small_frame(spark, done, stores.LEDGER).coalesce(1), paths.ledger)
+
+
+def remember(spark: SparkSession, mapped: MappedFiles, spec: LoadSpec, paths: LoadPaths, version: int) -> None:
+    """Keep what a load learned: header positions per file, and the target of every mapped header."""
+    at = mapped.header_rows.select("target_table", "file", (F.col("header_row") + 1).cast("int").alias("header_row"))
+    stores.append_store(at.withColumn("version", F.lit(version).cast("bigint")), paths.header_rows)
+    pairs = mapped.mapping.filter(F.col("target") != M.IGNORE).select("target_table", "raw_header", "target").distinct()
+    fresh = pairs.withColumn("version", F.lit(version).cast("bigint"))
+    none = small_frame(spark, [], stores.RULES)
+    stores.append_store(M.merge_rules(none, fresh), paths.rules)
+
+
+def accept_hints(spark: SparkSession, mapped: MappedFiles, spec: LoadSpec, paths: LoadPaths, version: int) -> None:
+    """Remember the useful suggestions, so that the next mapping of these headers takes them."""
+    hints = M.accept_suggestions(mapped.suggestions, spec.target, version).distinct()
+    stores.append_store(M.merge_rules(small_frame(spark, [], stores.RULES), hints), paths.rules)
 
 
 def load_files(
@@ -261,12 +373,28 @@ def load_files(
     delimiter: str = "|",
     quoted: bool = False,
     pre_action: str | DeleteWhere | None = None,
-) -> tuple[LoadResult, MappedFiles]:
-    """First load from text files: header rows, mapping, validation, target, rejects, ledger."""
-    mapped = map_files(spark, path, spec, rules, stored_headers, delimiter, quoted)
+    aliases: DataFrame | None = None,
+    only_sure: bool = False,
+    annotated: bool = False,
+) -> tuple[LoadResult | None, MappedFiles]:
+    """First load from text files: header rows, mapping, validation, target, rejects, ledger.
+
+    Mapping rules and header positions that earlier loads saved are used unless others are
+    given; what this load finds is saved before rows are written. With `only_sure`, nothing is
+    loaded or saved while some file's mapping asks for review, and the result is None.
+    """
+    if rules is None:
+        rules = stores.read_store(spark, paths.rules, stores.RULES)
+    if stored_headers is None:
+        stored_headers = stores.latest_header_rows(stores.read_store(spark, paths.header_rows, stores.HEADER_ROWS))
+    mapped = map_files(spark, path, spec, rules, stored_headers, delimiter, quoted, aliases)
+    if only_sure and mapped.needs_review():
+        return None, mapped
+    if aliases is None:
+        remember(spark, mapped, spec, paths, int(load_time.timestamp() * 1000))
     source = path if isinstance(path, str) else ", ".join(path)
     done = load_rows(
-        spark, mapped.rows, spec, paths, load_id, load_time, pre_action=pre_action, source=source
+        spark, mapped.rows, spec, paths, load_id, load_time, pre_action=pre_action, source=source, annotated=annotated
     )
     return done, mapped
 
@@ -282,14 +410,8 @@ def retry_load(
     keep: Sequence[str] = ("file", "row_no"),
 ) -> LoadResult:
     """Load corrected rejects. No pre-load action; rows of the parent that are not among its
-    rejects (they went in already) are left out, so correcting a whole file does not double it."""
+    rejects, or that another retry brought in, are left out, so nothing is doubled."""
     rows = fixed.drop(*[c for c in fixed.columns if c.strip().lower() == ERRORS_COLUMN])
-    waiting = spark.read.parquet(paths.rejects).filter(F.col("load_id") == parent_load_id).select(*keep)
+    waiting = _waiting(spark, paths, _ledger(spark, paths), parent_load_id, keep, but=load_id)
     again = rows.join(waiting, list(keep), "left_semi")
     return load_rows(spark, again, spec, paths, load_id, load_time, keep, parent_load_id=parent_load_id)
-
-
-def retry_merge(loaded: DataFrame, retried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Loaded rows plus the retried rows that were not loaded before."""
-    fresh = retried.join(loaded.select(*keys), list(keys), "left_anti")
-    return loaded.unionByName(fresh.select(*loaded.columns))

@@ -89,13 +89,3 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     arrow = to_arrow_schema(kinds)
     arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), kinds)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores when the source gives fewer tasks than there are cores.
-
-    One small or unsplittable file is one task, however costly the parsing after it. A source
-    with enough splits is left as it is, so large inputs never pay for a shuffle here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,20 +14,33 @@ from pyspark.sql import functions as F
 from loadsieve.operators.headers import PREVIEW_ROWS
 from loadsieve.session import saved
 
-# Largest block table that is sent to every executor; about a million blocks of 128 MB each.
-BLOCK_TABLE_LIMIT = 512 * 1024 * 1024
+def _literal(delimiter: str) -> str:
+    """The delimiter as a pattern: any text of any length, taken literally."""
+    return re.sub(r"([^A-Za-z0-9\s])", r"\\\1", delimiter)
 
 
 def split_cells(line: Column, delimiter: str = "|") -> Column:
-    """Cells of one delimited line; quoting is left to `scan_table`, which uses from_csv."""
-    return F.split(line, "[" + delimiter + "]", -1)
+    """Cells of one delimited line without quoting."""
+    return F.split(line, _literal(delimiter), -1)
 
 
 def split_quoted(line: Column, delimiter: str = "|") -> Column:
-    """Cells of one line whose cells may be quoted and whose width is unknown. Each delimiter
-    looks ahead over the rest of the line, so this is for header previews only."""
-    cells = F.split(line, "[" + delimiter + ']' + '(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(cells, lambda x: F.regexp_replace(x, '^"(.*)"$', "$1"))
+    """Cells of one line whose cells may be quoted; a doubled quote inside stands for one.
+
+    A cell is quoted when its closing quote ends it, else its quotes are text. The same function
+    reads headers and data, whatever their width.
+    """
+    d = _literal(delimiter)
+    plain = f"[^{d}]*+" if len(delimiter) == 1 else f"(?:(?!{d}).)*+"
+    cell = f'(?s){d}("[^"]*+(?:""[^"]*+)*+"(?={d}|$)|{plain})'
+    cells = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(cell), F.lit(1))
+    closed = lambda x: (F.length(x) > 1) & x.startswith('"') & x.endswith('"')
+    inner = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda x: F.when(closed(x), inner(x)).otherwise(x))
+
+
+def cells_of(line: Column, delimiter: str = "|", quoted: bool = False) -> Column:
+    return split_quoted(line, delimiter) if quoted else split_cells(line, delimiter)
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -37,66 +53,75 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def quoted_cells(line: Column, width: int, delimiter: str = "|") -> Column:
-    """Cells of a line whose cells may be quoted; `width` is the widest header of the files."""
-    names = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, ", ".join(f"{n} STRING" for n in names), {"sep": delimiter})
-    return F.array(*[parsed[n] for n in names])
+def scan_blocks(lines: DataFrame, head_rows: int = PREVIEW_ROWS) -> DataFrame:
+    """One saved row per file block, from one pass over the lines: file, block, n, first_pos, heads
+    (its first lines, head_rows at most) and earlier (lines of the file's blocks before it).
 
+    A block's lines sit next to each other in one task, so a task streams through them and keeps a
+    count and a few lines; nothing is sorted or shuffled but the rows of the block table.
+    """
 
-def number_lines(lines: DataFrame, per_file: DataFrame | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, first, heads = None, 0, 0, []
+
+        def row() -> pa.RecordBatch:
+            values = ([key[0]], [key[1]], [n], [first], [heads])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, k) for v, k in zip(values, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())))],
+                names=["file", "block", "n", "first_pos", "heads"],
+            )
+
+        for batch in batches:
+            files, blocks, positions, text = batch.columns
+            codes = files.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            starts = blocks.to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero((codes[1:] != codes[:-1]) | (starts[1:] != starts[:-1])) + 1).tolist() if len(codes) else []
+            for a, b in zip([0, *cuts], [*cuts, len(codes)]):
+                if a == b:
+                    continue
+                here = (files[a].as_py(), int(starts[a]))
+                if here != key:
+                    if key is not None:
+                        yield row()
+                    key, n, first, heads = here, 0, positions[a].as_py(), []
+                n += b - a
+                heads += text.slice(a, min(b - a, head_rows - len(heads))).to_pylist()
+        if key is not None:
+            yield row()
+
+    schema = "file STRING, block BIGINT, n BIGINT, first_pos BIGINT, heads ARRAY<STRING>"
+    blocks = lines.select("file", "block", "pos", "line").mapInArrow(counted, schema)
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    return saved(blocks.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0))), "blocks")
+
+
+def number_lines(
+    lines: DataFrame, blocks: DataFrame | None = None, per_file: DataFrame | None = None, extra: Sequence[str] = ()
+) -> DataFrame:
     """Adds row_no, counted from 0 inside each file, without sorting a file in one task.
 
-    Lines of a block sit next to each other in one task, so their positions are consecutive.
-    Counting lines per block (one small row per block after map-side aggregation) and summing
-    over the earlier blocks of a file turns a position into a row number. A file may therefore
-    be split over any number of tasks, and a position outside its block stops the job instead of
-    giving a wrong number. `per_file` holds one row per file; its columns `extra` ride along.
+    A line's place in its block plus the lines of the file's earlier blocks is its row number. A
+    file may be split over any number of tasks, and a position outside its block stops the job
+    instead of giving a wrong number. `per_file` holds one row per file; its columns `extra` ride along.
 
-    The block table is saved and measured. Up to BLOCK_TABLE_LIMIT bytes it is broadcast, so the
-    lines are not shuffled; beyond that both sides are shuffled by block, and no block is large.
+    The block table is a saved table of known size, so the planner sends it to the lines while
+    it is below spark.sql.autoBroadcastJoinThreshold, and joins by block beyond that.
     """
-    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = blocks.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    placed = (blocks if blocks is not None else scan_blocks(lines, 0)).drop("heads")
     if per_file is not None:
-        blocks = blocks.join(per_file.select("file", *extra), "file")
-    blocks = saved(blocks, "blocks")
-    if _bytes_of(blocks) <= BLOCK_TABLE_LIMIT:
-        blocks = F.broadcast(blocks)
+        placed = saved(placed.join(per_file.select("file", *extra), "file"), "placed-blocks")
     offset = F.col("pos") - F.col("first_pos")
     inside = (offset >= 0) & (offset < F.col("n"))
     row_no = F.when(inside, F.col("earlier") + offset).otherwise(
         F.raise_error(F.concat(F.lit("files changed while being read: "), F.col("file"))).cast("bigint")
     )
-    return lines.join(blocks, ["file", "block"]).select("file", row_no.alias("row_no"), "line", *extra)
+    return lines.join(placed, ["file", "block"]).select("file", row_no.alias("row_no"), "line", *extra)
 
 
-def _bytes_of(df: DataFrame) -> int:
-    """Size of a saved table when held in memory: its values as text plus room for each row."""
-    row = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return df.agg(F.sum(row * 2 + 64)).first()[0] or 0
-
-
-def preview(lines: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """First rows of each file: only the first block counts, and each task ranks its own part
-    before anything is shuffled."""
-    turn = F.row_number().over(W.partitionBy("file").orderBy("pos"))
-    return (
-        lines.filter(F.col("block") == 0)
-        .withColumn("turn", turn)
-        .filter(F.col("turn") <= rows)
-        .select("file", (F.col("turn") - 1).cast("bigint").alias("row_no"), "line")
-    )
-
-
-def data_rows(numbered: DataFrame, header_rows: DataFrame) -> DataFrame:
-    """Rows below each file's header row (file, header_row)."""
-    return (
-        numbered.join(header_rows.select("file", "header_row"), "file")
-        .filter(F.col("row_no") > F.col("header_row"))
-        .drop("header_row")
-    )
+def preview(blocks: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
+    """First rows of each file, from the block table: whatever blocks they lie in."""
+    heads = blocks.where(F.col("earlier") < rows).select("file", "earlier", F.posexplode("heads").alias("at", "line"))
+    return heads.select("file", (F.col("earlier") + F.col("at")).alias("row_no"), "line").where(F.col("row_no") < rows)
 
 
 def header_cells(preview_rows: DataFrame, header_rows: DataFrame) -> DataFrame:
@@ -126,11 +151,10 @@ def header_cells(preview_rows: DataFrame, header_rows: DataFrame) -> DataFrame:
     )
 
 
-def scan_table(rows: DataFrame, headers: Sequence[str], delimiter: str = "|") -> DataFrame:
-    """Rows of files that share one header list as text columns; from_csv handles quoting."""
-    quoted = ", ".join("`" + h.replace("`", "``") + "` STRING" for h in headers)
-    parsed = F.from_csv(F.col("line"), quoted, {"sep": delimiter, "mode": "PERMISSIVE"})
-    return rows.select("file", "row_no", parsed.alias("r")).select("file", "row_no", "r.*")
+def scan_table(rows: DataFrame, headers: Sequence[str], delimiter: str = "|", quoted: bool = True) -> DataFrame:
+    """Rows of files that share one header list as text columns."""
+    cells = rows.select("file", "row_no", cells_of(F.col("line"), delimiter, quoted).alias("__cells"))
+    return cells.select("file", "row_no", *[F.get("__cells", F.lit(i)).alias(h) for i, h in enumerate(headers)])
 
 
 def cells_to_rows(cells: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Sinks: append, overwrite and delete-where loads into Parquet targets.
 
-Every write is keyed by load_id and replaces only what the same load wrote before, so a job
-that is repeated after a failure leaves one copy of its rows.
+A load owns one partition folder (load_id=...) of a target and always writes it whole, empty or
+not: a job that is repeated, with the same rows or others, leaves exactly its last outcome, and
+a target without rows still has a file that tells its schema.
 """
 
 from __future__ import annotations
@@ -15,29 +16,29 @@ from pyspark.sql import functions as F
 from loadsieve.session import small_frame
 
 
+def load_folder(spark: SparkSession, path: str, load_id: str) -> str:
+    """The partition folder of a load, named as Spark names it."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(load_id)
+    return f"{path.rstrip('/')}/load_id={escaped}"
+
+
 def write_load(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
-    """Append one load as its own partition, columns in target order."""
+    """Write one load as its own partition, in place of what the same load wrote before."""
     chosen = df.select(*columns) if columns else df
-    (
-        chosen.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path)
-    )
+    chosen.write.mode("overwrite").parquet(load_folder(df.sparkSession, path, load_id))
 
 
 def write_overwrite(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
-    """Truncate and load. Spark removes the old files as this write begins, so hand over rows read
-    from a staged copy: repeating the write after a failure then gives the same target."""
-    chosen = df.select(*columns) if columns else df
-    (
-        chosen.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("load_id")
-        .parquet(path)
-    )
+    """Truncate and load: the new partition first, then the others go. A repeat after a failure
+    between the two gives the same target."""
+    write_load(df, path, load_id, columns)
+    spark = df.sparkSession
+    own = load_folder(spark, path, load_id).rsplit("/", 1)[1]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        if entry.getPath().getName() != own:
+            files.delete(entry.getPath(), True)
 
 
 def write_replace_where(
@@ -45,16 +46,11 @@ def write_replace_where(
 ) -> None:
     """Delete-where and load into a new path: the current table without the matching rows plus
     the new rows. A null condition keeps the row, as a delete would."""
-    old = spark.read.parquet(current).filter(~F.coalesce(condition, F.lit(False)))
+    old = spark.read.parquet(current).filter(~F.coalesce(condition, F.lit(False)) & (F.col("load_id") != load_id))
     fresh = df.withColumn("load_id", F.lit(load_id))
     old.unionByName(fresh, allowMissingColumns=True).write.mode("overwrite").partitionBy("load_id").parquet(new_path)
 
 
-def append_table(df: DataFrame, table: str, columns: Sequence[str]) -> None:
-    """Append to a catalogue table in its column order; for tables without load partitions."""
-    df.select(*columns).write.mode("append").insertInto(table)
-
-
 def append_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], batch_size: int = 1000, **options: str) -> None:
     """Append over JDBC. Each task commits on its own, so hand over staged, finished rows only."""
     writer = df.select(*columns).write.mode("append").format("jdbc")

@@ -1,7 +1,7 @@
 """Incremental folder intake: each new file is loaded once.
 
 The checkpoint remembers which files were processed, so nothing is moved or renamed. A batch
-that runs again after a failure has the same load_id and replaces its own output.
+that runs again after a failure has the same load_id and the same files, and replaces its own output.
 """
 
 from __future__ import annotations
@@ -10,29 +10,29 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loadsieve.plans.load import LoadPaths, load_rows
+from loadsieve.plans.load import LoadPaths, load_files, load_rows
 from loadsieve.plans.spec import LoadSpec
-from loadsieve.sources.grid import scan_table
+from loadsieve.sources.grid import number_lines, scan_lines, scan_table
 
 
-def read_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text")
+# Fixed value: the schema of Spark's file listing source.
+FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def new_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the paths of new files; their contents are left to the load."""
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(folder).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").alias("line"),
-    )
+    return reader.load(folder).select("path")
 
 
 def ingest(
     spark: SparkSession,
     folder: str,
-    headers: list[str],
+    headers: list[str] | None,
     spec: LoadSpec,
     paths: LoadPaths,
     checkpoint: str,
@@ -40,21 +40,29 @@ def ingest(
     delimiter: str = "|",
     max_files: int | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc).replace(tzinfo=None),
+    quoted: bool = False,
 ) -> StreamingQuery:
-    """Validated load of every new headerless file in a folder, then stop.
+    """Validated load of every new file in a folder, then stop.
 
-    `headers` are the target names of the cells in order. A row's key is its file and a position
-    that is unique inside the batch.
+    Each batch is a load from files like any other: header rows are found and headers mapped file
+    by file. `headers`, the target names of the cells in order, is for files without a header.
+    A row's key is its file and its line there, so it is the same when a batch runs again.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = scan_table(
-            batch.select("file", F.monotonically_increasing_id().alias("row_no"), "line"), headers, delimiter
-        )
-        load_rows(batch.sparkSession, rows, spec, paths, f"{name}-{batch_id}", clock(), source=folder)
+        session = batch.sparkSession
+        files = sorted(r["path"] for r in batch.collect())  # the names that the batch's plan holds anyway
+        if not files:
+            return
+        load_id = f"{name}-{batch_id}"
+        if headers is None:
+            load_files(session, files, spec, paths, load_id, clock(), delimiter=delimiter, quoted=quoted)
+        else:
+            rows = scan_table(number_lines(scan_lines(session, files)), headers, delimiter, quoted)
+            load_rows(session, rows, spec, paths, load_id, clock(), source=folder)
 
     return (
-        read_lines(spark, folder, max_files)
+        new_files(spark, folder, max_files)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

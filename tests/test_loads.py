@@ -83,7 +83,163 @@ def test_truncate_happens_even_without_loadable_rows(spark, tmp_path):
     load(spark, tmp_path)
     done = load(spark, tmp_path, ROWS[3:4], "b", pre_action=L.TRUNCATE)
     assert done.rows_valid == 0 and done.status is None
-    assert spark.read.schema("id INT").parquet(done.target_path).count() == 0
+    target = spark.read.parquet(done.target_path)
+    assert target.count() == 0 and target.columns == [m.name for m in SPEC.insertable] + ["load_id"]
+
+
+def test_a_repeated_load_leaves_its_last_outcome(spark, tmp_path):
+    paths = paths_at(tmp_path)
+    good = [(i, str(i), "01/02/2024", "2024-03-01", "1", "si") for i in range(4)]
+    bad = [(i, "x", "ayer", None, None, None) for i in range(4)]
+    read = lambda p: spark.read.parquet(p).count()
+    for action in (None, L.TRUNCATE):
+        load(spark, tmp_path, good, "other")
+        for rows in (ROWS, good, bad, good[:1] + bad[1:], good):
+            done = load(spark, tmp_path, rows, pre_action=action)
+            others = 0 if action else 4
+            assert read(paths.target) == done.rows_valid + others
+            assert spark.read.parquet(paths.rejects).where("load_id = 'a'").count() == done.rows_invalid
+    assert len(set(spark.read.parquet(paths.staged).select("load_id").distinct().collect())) == 2
+
+
+def test_load_ids_of_any_text(spark, tmp_path):
+    done = load(spark, tmp_path, load_id="2024/05: a=b %")
+    assert spark.read.parquet(done.target_path).first()["load_id"] == "2024/05: a=b %"
+
+
+def ledger_of(spark, paths):
+    return {r["load_id"]: r for r in stores.latest_events(spark.read.schema(stores.LEDGER).parquet(paths.ledger)).collect()}
+
+
+def test_retries_follow_the_chain(spark, tmp_path):
+    paths = paths_at(tmp_path)
+    load(spark, tmp_path)  # rejects 2, 3, 4, 6, 7
+    fix = lambda *ns: [(n, str(n), "01/01/2024", "02/01/2024", "1", "si") for n in ns]
+    retry = lambda rows, load_id, parent: L.retry_load(spark, spark.createDataFrame(rows, RAW), SPEC, paths, load_id, parent, NOW, keep=["row_no"])
+    ids = lambda: sorted(r["id"] for r in spark.read.parquet(paths.target).collect())
+
+    done = retry(fix(2), "r1", "a")
+    assert (done.rows_read, done.rows_valid) == (1, 1) and ledger_of(spark, paths)["a"]["event"] == stores.RETRY_OPEN
+    done = retry(fix(2, 3) + [ROWS[3]], "r2", "a")  # 2 is in already, 4 is as bad as before
+    assert (done.rows_read, done.rows_valid, done.rows_invalid) == (2, 1, 1) and ids() == [1, 2, 3]
+    for _ in range(2):  # the same retry again
+        done = retry(fix(4), "r3", "r2")
+        assert done.rows_valid == 1 and ids() == [1, 2, 3, 4]
+    now = ledger_of(spark, paths)
+    assert now["r2"]["event"] == stores.RETRY_DONE and now["a"]["event"] == stores.RETRY_OPEN
+    retry(fix(6, 7), "r4", "a")
+    now = ledger_of(spark, paths)
+    assert now["a"]["event"] == stores.RETRY_DONE and ids() == [1, 2, 3, 4, 6, 7]
+    assert (now["a"]["rows_read"], now["a"]["rows_valid"], now["a"]["rows_invalid"]) == (6, 1, 5)
+    assert now["r2"]["parent_load_id"] == "a"
+    assert stores.open_retries(spark.read.schema(stores.LEDGER).parquet(paths.ledger)).count() == 0
+
+
+def test_header_and_rows_beyond_the_first_block(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("x" * 30000 + "\n\nId|Fecha inicio proyecto|Importe|Activo\n" + "".join(f"{i}|01/02/2024|3,5|si\n|||\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        done, _ = L.load_files(spark, str(source), SPEC, paths_at(tmp_path), "a", NOW)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert (done.rows_read, done.rows_valid, done.rows_invalid) == (3000, 3000, 0)
+
+
+def test_a_file_without_mapped_columns_keeps_its_rows(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("zzzz|yyyy\n1|2\n\n3|4\n")
+    (source / "b.txt").write_text("id|importe\n1|2\n|\n3|4\n")
+    spec = LoadSpec(target="t", columns=SPEC.columns, fixed_values=SPEC.fixed_values, header_row=1)
+    done, mapped = L.load_files(spark, str(source), spec, paths_at(tmp_path), "a", NOW)
+    assert done.rows_read == 3 + 2 and mapped.needs_review()
+
+
+def test_text_is_read_twice(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("Id|Importe\n1|2\n")
+    scans = []
+    scan_lines, scan_blocks, number_lines = grid.scan_lines, grid.scan_blocks, grid.number_lines
+    try:
+        grid.scan_blocks = lambda *a, **b: scans.append("blocks") or scan_blocks(*a, **b)
+        grid.number_lines = lambda *a, **b: scans.append("lines") or number_lines(*a, **b)
+        mapped = L.map_files(spark, str(source), SPEC)
+    finally:
+        grid.scan_lines, grid.scan_blocks, grid.number_lines = scan_lines, scan_blocks, number_lines
+    plan = mapped.rows._jdf.queryExecution().executedPlan().toString()
+    assert scans == ["blocks", "lines"] and plan.count("FileScan text") == 1
+
+
+def test_second_load_learns_from_the_first(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("Informe\nId|Fechas inicio proyecto|Importe|Observaciones\n1|01/02/2024|x|n\n2|01/02/2024|1|m\n")
+    paths = paths_at(tmp_path)
+    done, mapped = L.load_files(spark, str(source), SPEC, paths, "a", NOW, only_sure=True)
+    assert done is None and not os.path.exists(paths.target) and not os.path.exists(paths.rules)
+    missing = {r["target"]: r for r in mapped.missing.collect()}
+    assert missing["nota"]["default_expr"] == "'sin'::text" and missing["nota"]["has_literal_default"] and missing["nota"]["default_value"] == "sin"
+    assert not missing["activo"]["has_literal_default"]
+    coverage = mapped.coverage.first()
+    assert (coverage["source_columns"], coverage["mapped"], coverage["ignored"], coverage["missing"]) == (4, 3, 1, 3)
+    hints = {r["target"]: r["suggested_header"] for r in mapped.suggestions.where("useful").collect()}
+    done, mapped = L.load_files(spark, str(source), SPEC, paths, "a", NOW, annotated=True)
+    assert (done.rows_valid, done.rows_invalid) == (1, 1)
+    assert [r["reason"] for r in done.top_reasons(spark).collect()] == ["importe"]
+    assert sorted(r["errores"] for r in spark.read.parquet(done.annotated_path).collect()) == ["", "importe"]
+    L.accept_hints(spark, mapped, SPEC, paths, 2_000_000_000_000)
+    done, again = L.load_files(spark, str(source), SPEC, paths, "b", NOW, only_sure=True)
+    assert done is not None and again.header_rows.first()["origin"] == "stored"
+    methods = {r["raw_header"]: r["method"] for r in again.mapping.collect()}
+    assert methods["Fechas inicio proyecto"] == "mapping_ini" and (methods["Observaciones"] == "mapping_ini") == ("nota" in hints)
+
+
+@pytest.mark.parametrize("sep,quoted,line,cells", [
+    ("^", False, "a^b^", ["a", "b", ""]),
+    ("||", False, "a|b||c", ["a|b", "c"]),
+    ("\t", False, "a\tb", ["a", "b"]),
+    ("]", False, "a]b", ["a", "b"]),
+    ("|", True, '"a ""x"""|b', ['a "x"', "b"]),
+    ("|", True, '|"a|b"|', ["", "a|b", ""]),
+    ("|", True, 'a "b" c|"d" e|"', ['a "b" c', '"d" e', '"']),
+    ("||", True, '"a||b"||c|d||""', ["a||b", "c|d", ""]),
+    (".", True, '"a.b".c', ["a.b", "c"]),
+    ("|", True, "", [""]),
+])
+def test_cells(spark, sep, quoted, line, cells):
+    df = spark.createDataFrame([(line,)], "line STRING")
+    assert df.select(grid.cells_of(F.col("line"), sep, quoted)).first()[0] == cells
+
+
+def test_stream_finds_layouts_and_keeps_row_numbers(spark, tmp_path):
+    source = tmp_path / "in dir"
+    source.mkdir()
+    paths = paths_at(tmp_path)
+    (source / "1 a.txt").write_text("Informe\n\nId|Fecha inicio proyecto|Importe|Activo\n1|01/02/2024|5|si\n2|x|1|no\n")
+    (source / "2.txt").write_text("Activo|Id|Importe\nno|8|x\n")
+    ingest(spark, str(source), None, SPEC, paths, str(tmp_path / "cp"), clock=lambda: NOW).awaitTermination()
+    assert [r["id"] for r in spark.read.parquet(paths.target).collect()] == [1]
+    rejects = {(os.path.basename(r["file"]).replace("%20", " "), r["row_no"]) for r in spark.read.parquet(paths.rejects).collect()}
+    assert rejects == {("1 a.txt", 4), ("2.txt", 1)}
+
+
+def test_alias_keys_of_the_fixed_layout(spark):
+    from loadsieve.plans.fixed_schema import header_aliases
+
+    pairs = {r["key"]: r["alias"] for r in header_aliases(spark, "grupo").collect()}
+    assert len(pairs) == 74 and sorted(pairs.values()) == sorted(c.name for c in fixed_schema_spec("grupo").inputs)
+
+
+def test_whole_numbers_are_exact(spark):
+    spec = LoadSpec(target="t", columns=(ColumnMeta("b", "bigint"),))
+    texts = ["9007199254740993", "-9223372036854775808", "9223372036854775808", "1.234.567,5", "0,5", "-2,5", "1e3", "x", "inf"]
+    got = L.stage(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_no INT, b STRING"), spec, ["row_no"]).orderBy("row_no").collect()
+    assert [r["b"] for r in got] == [9007199254740993, -(2**63), None, 1234568, 1, -3, 1000, None, None]
+    assert [r["errores"] for r in got] == ["", "", "b", "", "", "", "", "b", ""]
 
 
 def test_retry_completes_its_parent(spark, tmp_path):
@@ -109,8 +265,9 @@ def test_row_numbers_when_files_are_split(spark, tmp_path):
     try:
         lines = grid.scan_lines(spark, str(tmp_path))
         assert lines.select("file", "block").distinct().count() > 8
-        rows = grid.number_lines(lines).collect()
-        head = grid.preview(lines, 4).collect()
+        blocks = grid.scan_blocks(lines, 4)
+        rows = grid.number_lines(lines, blocks).collect()
+        head = grid.preview(blocks, 4).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(rows) == 6703

@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.check_queries import connect, differences
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+ORACLES = {name: sql for area in entry.AREAS for name, sql in area.oracles().items()}
+QUERIES = {name: query for name, query in entry.queries().items() if name in ORACLES}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,14 @@ def con(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert {name for area in entry.AREAS for name in area.QUERIES} == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_plan_deals_rows_out_evenly(spark, sf_dir, name):
+    """A round-robin exchange would move whole tables whenever there are few input splits."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadsieve.session import spread
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -82,6 +80,13 @@ SELECT k, CASE k % 16 WHEN 0 THEN t WHEN 1 THEN replace(t,'.',',') WHEN 2 THEN '
   ELSE ' +'||t||' ' END AS raw
 FROM (SELECT l_orderkey * 8 + l_linenumber AS k, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS t
   FROM lineitem) q""",
+    # Whole numbers as text: exact beyond doubles, at and past the limits, fractions, grouped, wrapped.
+    "integers": """
+SELECT k, CASE k % 12 WHEN 0 THEN CAST(9007199254740993 + k AS STRING) WHEN 1 THEN '-9223372036854775808' WHEN 2 THEN '9223372036854775807'
+  WHEN 3 THEN '9223372036854775808' WHEN 4 THEN '2147483648' WHEN 5 THEN 'np.int64('||CAST(k AS STRING)||')'
+  WHEN 6 THEN CAST(k % 30000 AS STRING)||',5' WHEN 7 THEN '1.234.567.'||lpad(CAST(k % 1000 AS STRING),3,'0')||',0' WHEN 8 THEN 'inf' WHEN 9 THEN 'x1'
+  WHEN 10 THEN CAST(k AS STRING)||'e3' ELSE '-'||CAST(k % 20000 AS STRING)||'.5' END AS raw
+FROM (SELECT l_orderkey * 8 + l_linenumber AS k FROM lineitem) q""",
     # Two dates per line, for the rule that the first may not come after the second.
     "order_ship": """
 SELECT l_orderkey * 8 + l_linenumber AS k,
@@ -121,9 +126,13 @@ SELECT 'F'||CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS STRING) AS feed_id, 'p
     WHEN 6 THEN p_name||' 2' WHEN 7 THEN p_type ELSE p_type||' 2' END AS raw_header
 FROM (SELECT *, p_partkey % 40 + 1 AS ordinal FROM part) q""",
     "targets": """
-SELECT 'parts' AS target_table, CAST(row_number() OVER (ORDER BY p_name) AS INT) AS ordinal,
-  replace(p_name,' ','_') AS target
-FROM (SELECT DISTINCT p_name FROM part) q""",
+SELECT 'parts' AS target_table, CAST(min(p_partkey) AS INT) AS ordinal, replace(p_name,' ','_') AS target
+FROM part GROUP BY p_name""",
+    # Column defaults of the targets: literals and an expression.
+    "target_defaults": """
+SELECT 'parts' AS target_table, replace(p_name,' ','_') AS target, CASE min(p_partkey) % 6 WHEN 0 THEN 'FALSE' WHEN 1 THEN '42'
+  WHEN 2 THEN '''x''::text' WHEN 3 THEN 'now()' WHEN 4 THEN '-1.5' END AS column_default
+FROM part GROUP BY p_name""",
     # Remembered pairs in several versions.
     "rule_history": """
 SELECT 'parts' AS target_table, CASE p_partkey % 4 WHEN 0 THEN p_type||' 2' WHEN 1 THEN 'Unnamed: '||CAST(p_size AS STRING)
@@ -147,10 +156,10 @@ SELECT 'G'||CAST(g AS STRING) AS file, r AS row_no, CAST(p_partkey % 5 AS INT) A
     WHEN p_partkey % 5 = 4 THEN ' ' ELSE CAST(p_size AS STRING) END AS value
 FROM (SELECT *, CAST(floor(p_partkey / 100) AS BIGINT) AS g, CAST(floor((p_partkey % 100) / 5) AS BIGINT) AS r,
   upper(substr(p_name,1,1))||substr(p_name,2) AS initcap_name FROM part) q""",
-    # Loads: one per customer of an order; some are retries of another one.
+    # Loads: one per customer of an order; some are retries of another one, or of a retry.
     "loads": """
 SELECT 'L'||CAST(o_custkey AS STRING) AS load_id,
-  CASE WHEN o_custkey % 3 = 1 THEN 'L'||CAST(o_custkey - 1 AS STRING) END AS parent_load_id,
+  CASE WHEN o_custkey % 3 > 0 THEN 'L'||CAST(o_custkey - 1 AS STRING) END AS parent_load_id,
   CAST(count(*) AS BIGINT) AS rows_read,
   CAST(sum(CASE WHEN o_orderstatus = 'F' OR o_custkey % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS rows_valid,
   CAST(sum(CASE WHEN o_orderstatus = 'F' OR o_custkey % 2 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS rows_invalid
@@ -172,6 +181,7 @@ NEEDS = {
     "far_dates": ["orders"],
     "stamps": ["events"],
     "numbers": ["lineitem"],
+    "integers": ["lineitem"],
     "order_ship": ["orders", "lineitem"],
     "summaries": ["orders"],
     "loads": ["orders"],
@@ -184,7 +194,7 @@ def duck(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,11 +17,8 @@ THRESHOLD = 0.78
 
 
 def target_names(spark, d) -> list[str]:
-    """Columns of the one target table, in ordinal order; a table is at most 1,600 wide."""
-    rows = frame(spark, d, "targets").orderBy("ordinal").limit(M.MAX_TABLE_COLUMNS + 1).collect()
-    if len(rows) > M.MAX_TABLE_COLUMNS:
-        raise ValueError("the target table is too wide")
-    return [r["target"] for r in rows]
+    """Columns of the one target table, in ordinal order, as a spec lists them."""
+    return [r["target"] for r in frame(spark, d, "targets").orderBy("ordinal").collect()]
 
 
 def propose(spark, d):
@@ -42,6 +39,10 @@ def missing(spark, d, found=None):
     return M.missing_columns(found or mapping(spark, d), feeds_list(spark, d), frame(spark, d, "targets"))
 
 
+def missing_columns(spark, d):
+    return M.with_defaults(missing(spark, d), frame(spark, d, "target_defaults"))
+
+
 def scored(spark, d):
     rows = grid.cells_to_rows(frame(spark, d, "grids"))
     return H.score_rows(rows, target_names(spark, d), THRESHOLD).drop("cells")
@@ -115,6 +116,11 @@ def mapping_suggest(spark, d):
     return M.suggest(found, missing(spark, d, found), THRESHOLD)
 
 
+def mapping_accept(spark, d):
+    """Useful hints as rules to remember."""
+    return M.accept_suggestions(mapping_suggest(spark, d), "parts", 7)
+
+
 QUERIES = {
     "similarity": q_similarity,
     "best_match": best_match,
@@ -131,8 +137,9 @@ QUERIES = {
     "mapping_autoconfirm": lambda s, d: M.auto_confirm(mapping(s, d)),
     "mapping_low_conf": lambda s, d: M.low_confidence(mapping(s, d)),
     "mapping_coverage": mapping_coverage,
-    "missing_columns": missing,
+    "missing_columns": missing_columns,
     "mapping_suggest": mapping_suggest,
+    "mapping_accept": mapping_accept,
     "mapping_upsert": mapping_upsert,
     "mapping_lookup": mapping_lookup,
     "alias_mapping": alias_mapping,
@@ -226,7 +233,7 @@ def oracles() -> dict[str, str]:
     gaps = """gaps AS (SELECT f.feed_id, 'parts' AS target_table, t.target FROM (SELECT DISTINCT feed_id FROM feeds) f, targets t
  WHERE NOT EXISTS (SELECT 1 FROM mapping m WHERE m.feed_id = f.feed_id AND m.target = t.target))"""
     hist = duck("rule_history")
-    return {
+    found = {
         "similarity": f"""WITH RECURSIVE p AS ({pair_rows}), pairs AS (SELECT a||'/'||b AS id, a, b FROM p),
 ratios AS ({D.similarity("pairs")}) SELECT a, b, r::DOUBLE AS ratio FROM pairs JOIN ratios USING (id)""",
         "best_match": f"""WITH RECURSIVE feeds AS ({feeds}), targets AS ({duck("targets")}),
@@ -262,7 +269,12 @@ LEFT JOIN mapping m ON m.feed_id = n.feed_id AND m.ordinal = n.ordinal""",
         "mapping_coverage": f"""{m}, {gaps} SELECT feed_id, count(*) AS source_columns,
   count(*) FILTER (WHERE target <> '__IGNORAR__') AS mapped, count(*) FILTER (WHERE target = '__IGNORAR__') AS ignored,
   (SELECT count(*) FROM gaps g WHERE g.feed_id = m.feed_id) AS missing FROM mapping m GROUP BY feed_id""",
-        "missing_columns": f"{m}, {gaps} SELECT * FROM gaps",
+        "missing_columns": f"""{m}, {gaps} SELECT g.*, d.column_default AS default_expr,
+  coalesce(d.column_default <> 'now()', false) AS has_literal_default, CASE WHEN d.column_default LIKE '%text' THEN 'x' WHEN
+  d.column_default = 'FALSE' THEN 'false' WHEN d.column_default <> 'now()' THEN d.column_default END AS default_value
+FROM gaps g JOIN ({duck("target_defaults")}) d USING (target)""",
+        "mapping_accept": f"""SELECT 'parts' AS target_table, trim(suggested_header) AS raw_header, target, CAST(7 AS BIGINT) AS version
+FROM (<SUGGEST>) s WHERE useful AND trim(coalesce(suggested_header, '')) <> ''""",
         "mapping_suggest": f"""{m}, {gaps},
 left_out AS (SELECT feed_id, ordinal, raw_header, {D.key("raw_header")} AS key FROM mapping WHERE target = '__IGNORAR__'),
 gkeys AS (SELECT *, {D.key("target")} AS t_key FROM gaps),
@@ -287,3 +299,5 @@ mapped AS (SELECT h.*, coalesce(a.alias, h.key) AS mapped FROM heads h LEFT JOIN
 SELECT feed_id, ordinal, raw_header, {dup.format("mapped")} AS column_name FROM (SELECT *,
   row_number() OVER (PARTITION BY feed_id, mapped ORDER BY ordinal) AS n FROM mapped) q""",
     }
+    found["mapping_accept"] = found["mapping_accept"].replace("<SUGGEST>", found["mapping_suggest"])
+    return found

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadsieve.operators import mapping as M
@@ -40,7 +43,7 @@ SHEET = LoadSpec(
 )
 
 
-def sheets(spark, d) -> str:
+def sheets(spark, d, title="Informe de pedidos", heads=None) -> str:
     """Write the dirty orders as text files like sheets: title, blank line, header, rows.
 
     Files differ in header spelling and column order. Returns the folder.
@@ -54,8 +57,9 @@ def sheets(spark, d) -> str:
     head = F.when(
         F.col("f") % 2 == 1, "PEDIDO ACTIVO|Importe Total (EUR)|Id Fila|Fechas Pedido"
     ).otherwise("Id fila|Fecha pedido|Importe totl|Pedido activo")
+    head = F.lit(heads) if heads else head
     top = files.select(
-        "f", F.posexplode(F.array(F.lit("Informe de pedidos"), F.lit(""), head)).alias("at", "value")
+        "f", F.posexplode(F.array(F.lit(title), F.lit(""), head)).alias("at", "value")
     ).select("f", (F.col("at") - 10).cast("bigint").alias("at"), "value")
     folder = shared_dir(spark, "sheets")
     (
@@ -80,6 +84,24 @@ def scan_grid(spark, d):
     ).select("f", "row_no", F.concat_ws("~", "cells").alias("cells"))
 
 
+def scan_delimited(spark, d):
+    """Lines with several delimiters, some cells quoted, with delimiters and quotes inside."""
+    rows = frame(spark, d, "dirty_orders").select("k", *[F.coalesce(c, F.lit("")).alias(c) for c in ("raw_date", "raw_total", "raw_flag")])
+    out = []
+    for sep, quoted in (("^", False), ("||", False), ("||", True), ("|", True)):
+        if quoted:
+            inside = F.concat(F.lit('"a'), F.lit(sep), F.col("raw_date"), F.lit(' ""x"" "'))
+            cells = [F.col("k").cast("string"), inside, F.concat(F.lit('"'), F.col("raw_total"), F.lit('"')), F.lit('b "c" d'), F.lit("")]
+        else:
+            cells = [F.col("k").cast("string"), F.col("raw_date"), F.col("raw_total"), F.col("raw_flag"), F.lit("")]
+        folder = shared_dir(spark, "delimited")
+        rows.select(F.concat_ws(sep, *cells).alias("value")).write.text(folder)
+        read = grid.cells_of(F.col("line"), sep, quoted)
+        name = F.lit(f"{sep}{quoted}")
+        out.append(grid.scan_lines(spark, folder).select(name.alias("kind"), F.concat_ws("~", read).alias("cells"), F.size(read).alias("width")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def latest_file(spark, d):
     files = table(spark, d, "events").select(
         "event_type", F.concat(F.lit("f"), F.col("event_id")).alias("path"), F.col("ts").alias("modificationTime")
@@ -148,10 +170,95 @@ def reject_sink(spark, d):
 def load_generic(spark, d):
     paths = _paths(spark)
     L.load_files(spark, sheets(spark, d), SHEET, paths, "first", LOAD_TIME)
+    return sheet_target(spark, paths)
+
+
+def header_beyond_block(spark, d):
+    """Sheets whose title is longer than a file block, so that the header lies in a later block."""
+    paths = _paths(spark)
+    folder = sheets(spark, d, title="Informe de pedidos " * 2000)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "9000")
+    try:
+        L.load_files(spark, folder, SHEET, paths, "first", LOAD_TIME)
+    finally:
+        spark.conf.set(size, before)
+    return sheet_target(spark, paths)
+
+
+def sheet_target(spark, paths):
     names = ", ".join(f"{c.name} {c.spark_type}" for c in SHEET.insertable)
     return spark.read.schema(names + ", load_id STRING").parquet(paths.target).drop("load_id")
 
 
+def load_unmapped_file(spark, d):
+    """Sheets without a header that maps: their rows stay, with defaults and fixed values only."""
+    paths = _paths(spark)
+    folder = sheets(spark, d, heads="zzz|yyyy|xxxxx|wwww")
+    L.load_files(spark, folder, replace(SHEET, header_row=3), paths, "first", LOAD_TIME)
+    return sheet_target(spark, paths)
+
+
+def load_repeat(spark, d):
+    """The same load three times: all rows, half of them, and (truncating, elsewhere) only rejects."""
+    rows = dirty(spark, d)
+    paths, other = _paths(spark), _paths(spark)
+    _load(spark, d, paths)
+    _load(spark, d, paths, rows.where(F.col("k") % 2 == 0))
+    _load(spark, d, other)
+    _load(spark, d, other, rows.withColumn("fecha", F.lit("ayer")), pre_action=L.TRUNCATE)
+    read = lambda kind, p, columns: spark.read.parquet(p).select(F.lit(kind).alias("kind"), *columns, "load_id")
+    none = F.lit("").alias("errores")
+    typed = [F.col(c).cast("string").alias(c) for c in ("fecha", "activo")]
+    return (
+        read("target", paths.target, [*typed, none])
+        .unionByName(read("rejects", paths.rejects, [*typed, F.col("errores")]))
+        .unionByName(read("truncated", other.target, [*typed, none]))
+    )
+
+
+def load_learns_mapping(spark, d):
+    """What the second load of the same kind of sheets finds remembered."""
+    paths = _paths(spark)
+    L.load_files(spark, sheets(spark, d), SHEET, paths, "first", LOAD_TIME)
+    _, again = L.load_files(spark, sheets(spark, d), SHEET, paths, "second", LOAD_TIME, only_sure=True)
+    return again.mapping.select(_file_number(F.col("feed_id")).alias("f"), "ordinal", "raw_header", "target", "method", "score")
+
+
+FIXED = fixed_schema_spec("grupo")
+
+
+def fixed_cells() -> dict[str, str]:
+    """SQL of the text of every input of the fixed layout, from a dirty line's number k."""
+    cells = {}
+    for i, c in enumerate(FIXED.inputs):
+        if c.family == "date":
+            cells[c.name] = f"'{1 + i % 28:02d}/06/'||CAST(2001 + k % 20 AS STRING)" if c.name != "fecha_fin_proyecto" else "'2030-06-30'"
+        elif c.family == "number":
+            cells[c.name] = f"CASE k % 9 WHEN {i % 9} THEN 'nan' ELSE CAST(k % 1000 + {i} AS STRING)||'.5' END"
+        else:
+            cells[c.name] = f"'{c.name[:4]} '||CAST((k + {i}) % 97 AS STRING)"
+    return cells
+
+
+def load_fixed_files(spark, d):
+    """Fixed-schema load from files, headers by the alias table, all inputs filled."""
+    keys = {r["alias"]: r["key"] for r in header_aliases(spark, "grupo").collect()}
+    names = [c.name for c in FIXED.inputs]
+    cells = fixed_cells()
+    rows = frame(spark, d, "dirty_lineitem").select("k", F.concat_ws("|", *[F.expr(cells[n]) for n in names]).alias("value"))
+    files = rows.withColumn("f", F.col("k") % 8)
+    head = files.select("f").distinct().select("f", F.lit(-1).cast("long").alias("k"), F.lit("|".join(keys[n] for n in names)).alias("value"))
+    folder = shared_dir(spark, "fixed")
+    files.unionByName(head).repartition("f").sortWithinPartitions("f", "k").select("f", "value").write.partitionBy("f").text(folder)
+    paths = _paths(spark)
+    spec = replace(FIXED, header_row=1)
+    L.load_files(spark, folder, spec, paths, "first", LOAD_TIME, aliases=header_aliases(spark, "grupo"))
+    columns = ", ".join(f"{c.name} {c.spark_type}" for c in spec.insertable)
+    return spark.read.schema(columns + ", load_id STRING").parquet(paths.target).drop("load_id")
+
+
 def load_fixed_schema(spark, d):
     """Fixed-schema load of the lines: headers by alias table, plain numbers, 80 target columns."""
     base = frame(spark, d, "dirty_lineitem")
@@ -185,10 +292,18 @@ def fixed_row(df):
 
 
 def retry_merge(spark, d):
+    """A load and its retries: one that corrects half of its rejects, a retry of that one, run twice,
+    and one of the first load again, with rows that are all in by then."""
     paths = _paths(spark)
     _load(spark, d, paths)
-    rejects = spark.read.schema(REJECTS).parquet(paths.rejects).drop("load_id")
-    L.retry_load(spark, fixed_row(rejects), SPEC_K, paths, "retry", "first", LOAD_TIME, keep=["k"])
+    rejects = lambda load: spark.read.schema(REJECTS).parquet(paths.rejects).filter(F.col("load_id") == load).drop("load_id")
+    retry = lambda rows, load, parent: L.retry_load(spark, rows, SPEC_K, paths, load, parent, LOAD_TIME, keep=["k"])
+    half = F.col("k") % 2 == 0
+    first = rejects("first")
+    retry(fixed_row(first.filter(half)).unionByName(first.filter(~half)), "r1", "first")
+    for _ in range(2):
+        retry(fixed_row(rejects("r1")), "r2", "r1")
+    retry(fixed_row(first), "r3", "first")
     return spark.read.schema(TARGET).parquet(paths.target)
 
 
@@ -216,8 +331,24 @@ def stream_ingest(spark, d):
     return spark.read.schema(TARGET).parquet(paths.target).drop("load_id")
 
 
+def stream_layouts(spark, d):
+    """Intake of sheets that differ in layout: each batch finds its header rows and mapping."""
+    paths = _paths(spark)
+    folder = sheets(spark, d) + "/*"
+    query = ingest(spark, folder, None, SHEET, paths, shared_dir(spark, "checkpoint"), "sheets_feed", clock=lambda: LOAD_TIME)
+    query.awaitTermination()
+    return sheet_target(spark, paths)
+
+
 QUERIES = {
     "scan_grid": scan_grid,
+    "scan_delimited": scan_delimited,
+    "header_beyond_block": header_beyond_block,
+    "load_unmapped_file": load_unmapped_file,
+    "load_repeat": load_repeat,
+    "load_learns_mapping": load_learns_mapping,
+    "load_fixed_files": load_fixed_files,
+    "stream_layouts": stream_layouts,
     "latest_file": latest_file,
     "append_load": append_load,
     "overwrite_load": overwrite_load,
@@ -273,7 +404,43 @@ def oracles() -> dict[str, str]:
         f"{named[c.name]} AS {c.name}" if c.name in named else f"CAST(NULL AS {kinds[c.spark_type]}) AS {c.name}"
         for c in amounts
     )
+    sheet_rows = f"""SELECT k AS id_fila, fecha AS fecha_pedido, total AS importe_total, activo AS pedido_activo,
+  'hoja' AS origen, 'Massive Import' AS creador FROM ({staged}) s WHERE errores = ''"""
+    text_of = lambda c: f"coalesce({c}, '')"
+    values = fixed_cells()
+
+    def fixed_value(c) -> str:
+        if c.name in FIXED.fixed_values:
+            return named[c.name]
+        if c.name == "fecha_fin_proyecto":
+            return "DATE '2030-06-30'"
+        if c.family == "date":
+            return f"CAST(strptime({values[c.name]}, '%d/%m/%Y') AS DATE)"
+        return f"TRY_CAST(nullif({values[c.name]}, 'nan') AS DOUBLE)" if c.family == "number" else values[c.name]
+
+    fixed_columns = ", ".join(f"{fixed_value(c)} AS {c.name}" for c in FIXED.insertable)
+    plain_cells = "concat_ws('~', CAST(k AS VARCHAR), {0}, {1}, {2}, '')".format(*map(text_of, ("raw_date", "raw_total", "raw_flag")))
+    quoted_cells = lambda sep: f"""concat_ws('~', CAST(k AS VARCHAR), 'a{sep}'||{text_of("raw_date")}||' "x" ', {text_of("raw_total")}, 'b "c" d', '')"""
+    even = f"({staged}) s WHERE k % 2 = 0 AND {kept}"
+    heads_of = """SELECT f, unnest(range(1, 5))::INTEGER AS ordinal, unnest(CASE WHEN f % 2 = 1 THEN
+  ['PEDIDO ACTIVO','Importe Total (EUR)','Id Fila','Fechas Pedido'] ELSE ['Id fila','Fecha pedido','Importe totl','Pedido activo'] END) AS raw_header,
+  unnest(CASE WHEN f % 2 = 1 THEN ['pedido_activo','importe_total','id_fila','fecha_pedido']
+    ELSE ['id_fila','fecha_pedido','importe_total','pedido_activo'] END) AS target"""
     return {
+        "scan_delimited": " UNION ALL ".join(
+            f"SELECT '{sep}{quoted}' AS kind, {quoted_cells(sep) if quoted else plain_cells} AS cells, 5 AS width FROM ({base}) q"
+            for sep, quoted in (("^", False), ("||", False), ("||", True), ("|", True))
+        ),
+        "header_beyond_block": sheet_rows,
+        "stream_layouts": sheet_rows,
+        "load_unmapped_file": f"""SELECT CAST(NULL AS BIGINT) AS id_fila, CAST(NULL AS DATE) AS fecha_pedido, CAST(NULL AS DOUBLE) AS importe_total,
+  CAST(NULL AS BOOLEAN) AS pedido_activo, 'hoja' AS origen, 'Massive Import' AS creador FROM ({base}) q""",
+        "load_repeat": f"""SELECT 'target' AS kind, CAST(fecha AS VARCHAR) AS fecha, CAST(activo AS VARCHAR) AS activo, '' AS errores,
+  'first' AS load_id FROM {even} AND errores = ''
+UNION ALL SELECT 'rejects', raw_date, raw_flag, errores, 'first' FROM {even} AND errores <> ''""",
+        "load_learns_mapping": f"""SELECT *, 'mapping_ini' AS method, 1.0::DOUBLE AS score FROM (
+  {heads_of} FROM (SELECT DISTINCT {FILE_OF} AS f FROM ({base}) q) files) h""",
+        "load_fixed_files": f"SELECT {fixed_columns} FROM ({duck('dirty_lineitem')}) q",
         "scan_grid": f"""SELECT CAST(floor(k / 1000) AS BIGINT) AS f,
   CAST(2 + row_number() OVER (PARTITION BY CAST(floor(k / 1000) AS BIGINT) ORDER BY k) AS BIGINT) AS row_no,
   CASE WHEN CAST(floor(k / 1000) AS BIGINT) % 2 = 1 THEN concat_ws('~', raw_flag, raw_total, CAST(k AS VARCHAR), raw_date)
@@ -290,16 +457,16 @@ FROM ({staged}) s WHERE errores <> '' AND {kept}""",
         "retry_ledger": f"""SELECT load_id, source, event, version FROM (SELECT *, row_number() OVER (PARTITION BY load_id
   ORDER BY version DESC) AS n FROM ({duck("ledger")}) l) q WHERE n = 1 AND event = 'retry_open'""",
         "load_status": f"SELECT *, {status} AS status FROM ({loads}) l",
-        "retry_status": f"""WITH l AS (SELECT *, {status} AS status FROM ({loads}) x),
-c AS (SELECT parent_load_id AS load_id, count(*) AS retries,
-  bool_or(rows_valid = rows_read AND rows_invalid = 0) AS completed FROM l WHERE parent_load_id IS NOT NULL GROUP BY 1)
-SELECT l.load_id, l.status AS first_status, coalesce(c.retries, 0) AS retries, coalesce(c.completed, false) AS completed,
-  CASE WHEN c.completed AND l.status = '_PARTIAL_ERROR' THEN '_OK' ELSE l.status END AS status
+        "retry_status": f"""WITH RECURSIVE l AS (SELECT *, {status} AS status FROM ({loads}) x),
+t AS (SELECT load_id AS root, load_id FROM l WHERE parent_load_id IS NULL
+  UNION ALL SELECT t.root, l.load_id FROM t JOIN l ON l.parent_load_id = t.load_id),
+c AS (SELECT t.root AS load_id, count(*) AS retries, sum(l.rows_valid) AS loaded FROM t JOIN l USING (load_id) WHERE t.load_id <> t.root GROUP BY 1)
+SELECT l.load_id, l.status AS first_status, coalesce(c.retries, 0) AS retries, coalesce(c.loaded >= l.rows_invalid, false) AS completed,
+  CASE WHEN c.loaded >= l.rows_invalid AND l.status = '_PARTIAL_ERROR' THEN '_OK' ELSE l.status END AS status
 FROM l LEFT JOIN c USING (load_id) WHERE l.parent_load_id IS NULL""",
         "retry_merge": f"""{fresh} UNION ALL SELECT fecha, CASE WHEN isinf(total) THEN NULL ELSE total END, activo,
-  'Massive Import', 'retry' FROM ({again}) a WHERE errores = ''""",
-        "load_generic": f"""SELECT k AS id_fila, fecha AS fecha_pedido, total AS importe_total, activo AS pedido_activo,
-  'hoja' AS origen, 'Massive Import' AS creador FROM ({staged}) s WHERE errores = ''""",
+  'Massive Import', CASE WHEN k % 2 = 0 THEN 'r1' ELSE 'r2' END FROM ({again}) a WHERE errores = ''""",
+        "load_generic": sheet_rows,
         "load_fixed_schema": f"""SELECT {columns} FROM (SELECT *, {D.period(v1)} AS d, {D.checked_number(total)} AS n
   FROM ({duck("dirty_lineitem")}) q) p
 WHERE NOT (({v1} IS NOT NULL AND d IS NULL) OR coalesce(year(d) NOT BETWEEN 1900 AND 2100, false))

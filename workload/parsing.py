@@ -49,6 +49,17 @@ def typed_projection(spark, d):
     return staged(spark, d).select("k", "fecha", "total", "activo")
 
 
+INTEGERS = LoadSpec(
+    target="integers", columns=(ColumnMeta("s", "smallint"), ColumnMeta("i", "integer"), ColumnMeta("b", "bigint"))
+)
+
+
+def typed_integers(spark, d):
+    """Whole-number targets: beyond 2^53, fractions, out of range, grouped and wrapped."""
+    raw = frame(spark, d, "integers").select("k", *[F.col("raw").alias(c) for c in "sib"])
+    return stage(raw, INTEGERS, keep=["k"]).select("k", "s", "i", "b", "errores")
+
+
 def flag_date_order(spark, d):
     rows = frame(spark, d, "order_ship").select(
         "k", P.parse_date(F.col("raw_start")).alias("inicio"), P.parse_date(F.col("raw_end")).alias("fin")
@@ -110,6 +121,7 @@ QUERIES = {
     "parse_number_v1": _parser("numbers", "raw", P.parse_number_v1),
     "parse_bool": _parser("dirty_orders", "raw_flag", P.parse_bool),
     "typed_projection": typed_projection,
+    "typed_integers": typed_integers,
     "flag_bad_parse": _flag("raw_total", P.parse_number, V.bad_parse),
     "flag_year_range": _flag("raw_date", P.parse_period, lambda r, p: V.bad_year(p, 1900, 2100)),
     "flag_bad_bool": _flag("raw_flag", P.parse_bool, V.bad_bool),
@@ -165,6 +177,16 @@ def oracles() -> dict[str, str]:
         "parse_number": over("numbers", D.number(raw)),
         "parse_number_v1": over("numbers", D.checked_number(raw)),
         "parse_bool": over("dirty_orders", D.boolean(flag)),
+        "typed_integers": f"""SELECT k, CASE WHEN v BETWEEN -32768 AND 32767 THEN v::SMALLINT END AS s,
+  CASE WHEN v BETWEEN -2147483648 AND 2147483647 THEN v::INTEGER END AS i,
+  CASE WHEN v BETWEEN -9223372036854775808 AND 9223372036854775807 THEN v::BIGINT END AS b,
+  CASE WHEN kind = 'null' THEN '' ELSE concat_ws(', ', CASE WHEN NOT coalesce(v BETWEEN -32768 AND 32767, false) THEN 's' END,
+    CASE WHEN NOT coalesce(v BETWEEN -2147483648 AND 2147483647, false) THEN 'i' END,
+    CASE WHEN NOT coalesce(v BETWEEN -9223372036854775808 AND 9223372036854775807, false) THEN 'b' END) END AS errores
+FROM (SELECT k, CASE k % 12 WHEN 8 THEN 'null' ELSE 'value' END AS kind, CASE k % 12 WHEN 0 THEN 9007199254740993::HUGEINT + k
+  WHEN 1 THEN -9223372036854775808::HUGEINT WHEN 2 THEN 9223372036854775807::HUGEINT WHEN 3 THEN 9223372036854775808::HUGEINT
+  WHEN 4 THEN 2147483648::HUGEINT WHEN 5 THEN k::HUGEINT WHEN 6 THEN (k % 30000 + 1)::HUGEINT WHEN 7 THEN (1234567 * 1000 + k % 1000)::HUGEINT
+  WHEN 9 THEN NULL WHEN 10 THEN (k * 1000)::HUGEINT WHEN 11 THEN (-(k % 20000) - 1)::HUGEINT END AS v FROM ({duck("integers")}) q) n""",
         "typed_projection": f"SELECT k, fecha, total, activo FROM ({rows}) q",
         "flag_bad_parse": f"""SELECT k, {D.number('raw_total')} IS NULL AND raw_total IS NOT NULL AS mal
 FROM ({D.cleaned(base)}) q""",
