@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadsieve.llm.common import extended, table
+from loadsieve.llm.common import extended, small_batches, table
 from loadsieve.session import saved
 
 BUCKETS = 1 << 18
@@ -138,7 +138,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, co
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [features(t.as_py(), numbers).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "good", "found"])
 
@@ -173,7 +173,7 @@ def score_quality(docs: DataFrame, model: np.ndarray | float, text: str = "text"
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(len(rest))
             if isinstance(shared.value, float):
                 scores = np.full(len(texts), shared.value)

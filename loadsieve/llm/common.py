@@ -59,6 +59,13 @@ def extended(batch: pa.RecordBatch, fields: T.StructType, values: pd.DataFrame)
     return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *schema.names])
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def slices(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
     """Runs of texts that reach about so many characters; a longer text ends its run, whole."""
     start, held = 0, 0

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import slices, table
+from loadsieve.llm.common import slices, small_batches, table
 from loadsieve.session import saved
 
 CAPACITY = 2048
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 400_000
 #: No token goes on from an ASCII letter to an ASCII character that is none.
 END = re.compile(rb"(?<=[a-z])(?=[^a-z\s\x80-\xff])")
 
@@ -97,7 +97,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 2_000_000):
                 ids, firsts = encode(texts[a:b])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadsieve.llm.common import WHITE, extended, slices, table
+from loadsieve.llm.common import WHITE, extended, slices, small_batches, table
 
 RUN_CHARS = 1_000_000
 #: Fixed values of the base rules.
@@ -165,7 +165,7 @@ def judge_repetition(
     schema = T.StructType([f for f in docs.schema if f.name in kept_columns] + MEASURES.fields)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(kept_columns.index(text)).to_pylist()
             for a, b in slices(texts, RUN_CHARS):
                 out = measure(texts[a:b], min_words)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import components, table
+from loadsieve.llm.common import components, small_batches, table
 from loadsieve.session import saved
 
 BYTES = 8
@@ -51,7 +51,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) ->
     schema = docs.select(*[F.col(f"`{c}`") for c in rest], F.lit(0).cast("long").alias("fp")).schema
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             values = pa.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(fields))], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], values], names=schema.names)
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import table
+from loadsieve.llm.common import small_batches, table
 from loadsieve.session import saved
 
 #: Titles by the gender that they tell.
@@ -196,7 +196,7 @@ def find_entities(texts: DataFrame) -> DataFrame:
     """text_hash, start, end, kind, form, raw of all entities. texts: text_hash, text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [(h, a, b, kind, form, t[a:b]) for h, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for a, b, kind, form in entities_of(t)]
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["text_hash", "start", "end", "kind", "form", "raw"])
@@ -247,7 +247,7 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
     at, width = docs.columns.index(text), len(docs.columns)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for old, edits in zip(batch.column(at).to_pylist(), batch.column(width).to_pylist(), strict=True):
                 parts, end = [], 0
