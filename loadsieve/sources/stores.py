@@ -13,7 +13,6 @@ from loadsieve.sources.sinks import read_or_empty
 
 RULES = "target_table STRING, raw_header STRING, target STRING, version BIGINT"
 HEADER_ROWS = "target_table STRING, file STRING, header_row INT, version BIGINT"
-APPROVALS = "target_table STRING, raw_header STRING, target STRING, version BIGINT"
 LEDGER = (
     "load_id STRING, parent_load_id STRING, source STRING, rows_read BIGINT, rows_valid BIGINT, "
     "rows_invalid BIGINT, event STRING, version BIGINT"
@@ -36,12 +35,6 @@ def latest_header_rows(store: DataFrame) -> DataFrame:
     return store.groupBy("target_table", "file").agg(F.max_by("header_row", "version").alias("header_row"))
 
 
-def latest_approvals(store: DataFrame) -> DataFrame:
-    """Approved pairs of the newest version of each target table."""
-    newest = store.groupBy("target_table").agg(F.max("version").alias("version"))
-    return store.join(newest, ["target_table", "version"], "left_semi")
-
-
 def latest_events(ledger: DataFrame) -> DataFrame:
     """Last event per load with the fields it carried."""
     fields = [f for f in ledger.columns if f not in ("load_id", "version")]
