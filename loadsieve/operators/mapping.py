@@ -77,6 +77,10 @@ def target_arrays(targets: DataFrame) -> DataFrame:
     return arrays.withColumn("keys", F.when(clash, fail.cast("array<string>")).otherwise(F.col("keys")))
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def best_matches(keys: DataFrame, targets: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Best target per (target_table, key) at or above the threshold, first on ties.
 
@@ -86,7 +90,8 @@ def best_matches(keys: DataFrame, targets: DataFrame, threshold: float = DEFAULT
     is pinned to that place, so no filter or projection can repeat it.
     """
     arrays = saved(target_arrays(targets), "target-arrays")
-    distinct = keys.select("target_table", "key").distinct().repartition("target_table", "key")
+    # few bytes but much work each: the number of tasks is set, so that the adaptive planner keeps it
+    distinct = keys.select("target_table", "key").distinct().repartition(_tasks(keys), "target_table", "key")
     rows = distinct.join(arrays.select("target_table", "keys"), "target_table")
     found = rows.select("target_table", "key", best_of(F.col("key"), F.col("keys"), threshold).alias("best"))
     hits = keep_rows(found, F.col("best.position") >= 0, [F.col("target_table"), F.col("key"), F.col("best")])
@@ -301,7 +306,7 @@ def suggest(mapping: DataFrame, missing: DataFrame, threshold: float = DEFAULT_T
     )
     gap_keys = F.transform("gaps", lambda x: canonical_key(x))
     # one comparison per feed: its missing columns against its left-out headers, no copies of either
-    rows = rows.repartition("feed_id").withColumn("best", best_suggestions(gap_keys, F.col("left_keys")))
+    rows = rows.repartition(_tasks(mapping), "feed_id").withColumn("best", best_suggestions(gap_keys, F.col("left_keys")))
     only_one = (F.size("left_keys") == 1) & (F.size("gaps") == 1)
     hint = lambda x: F.when(x["position"] >= 0, F.get("left_headers", x["position"]))
     found = F.zip_with("gaps", "best", lambda t, x: F.struct(t.alias("target"), hint(x).alias("header"), x["ratio"].alias("ratio")))
