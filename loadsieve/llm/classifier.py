@@ -65,9 +65,10 @@ def features(text: str | None, numbers: dict[bytes, int]) -> np.ndarray:
 def descend(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: float, rounds: int, seed: int) -> np.ndarray:
     """Dual coordinate descent for the hinge loss. Returns weights of the indicators themselves (the scale is multiplied in), the bias last."""
     w = np.zeros(len(scale) + 1)
-    own = [np.append(scale[r] / max(1e-12, np.sqrt((scale[r] ** 2).sum())), 1.0) for r in rows]
-    places = [np.append(r, len(scale)) for r in rows]
-    norms = np.array([(v**2).sum() for v in own])
+    # eight bytes a feature, for all rows of the sample are held
+    own = [np.append(scale[r] / max(1e-12, np.sqrt((scale[r] ** 2).sum())), 1.0).astype(np.float32) for r in rows]
+    places = [np.append(r, np.int32(len(scale))) for r in rows]
+    norms = np.array([float(v @ v) for v in own])
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(seed)
     for _ in range(rounds):
