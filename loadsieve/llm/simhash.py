@@ -84,7 +84,7 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 2) -> DataFrame:
     masks = [sum(0xFF << 8 * p for p in kept) for kept in combinations(range(BYTES), BYTES - max_bits)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     # few bytes each, but 28 rows each from here on: dealt over all tasks first, which the adaptive planner would not do for so few bytes
-    spread = fingerprints.select("fp").repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    spread = fingerprints.select("fp").repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     lists = (
         spread.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes")) for i, m in enumerate(signed)])).alias("key"))
         .groupBy("key")
