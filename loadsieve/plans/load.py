@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +35,21 @@ LAYOUT = "__layout"
 class MappedFiles:
     """Rows of a set of files under target names, and how the names were found.
 
-    `missing` lists target columns no header maps to, with what their defaults say; the other
-    frames are the reports of a load: counts per file, hints for the missing columns, and whether
-    a file's mapping may go unreviewed.
+    The reports of a load are made when asked for: target columns no header maps to (with what
+    their defaults say), counts per file, hints for the missing columns, and whether a file's
+    mapping may go unreviewed.
     """
 
     rows: DataFrame
     mapping: DataFrame
     header_rows: DataFrame
-    missing: DataFrame
-    threshold: float
+    targets: DataFrame
+    spec: LoadSpec
+
+    @cached_property
+    def missing(self) -> DataFrame:
+        feeds = self.header_rows.select(F.col("file").alias("feed_id"), "target_table")
+        return M.missing_plan(M.missing_columns(self.mapping, feeds, self.targets), self.spec.columns)
 
     @property
     def coverage(self) -> DataFrame:
@@ -52,7 +57,7 @@ class MappedFiles:
 
     @property
     def suggestions(self) -> DataFrame:
-        return M.suggest(self.mapping, self.missing, self.threshold)
+        return M.suggest(self.mapping, self.missing, self.spec.threshold)
 
     @property
     def auto_confirm(self) -> DataFrame:
@@ -142,9 +147,9 @@ def map_files(
     `aliases` (key, alias) takes the place of matching: headers are renamed by that table only.
     """
     lines = grid.scan_lines(spark, path)
-    blocks = grid.scan_blocks(lines, max(H.PREVIEW_ROWS, spec.header_row or 0))
     rows_seen = max(H.PREVIEW_ROWS, spec.header_row or 0)
-    top = saved(grid.preview(blocks, rows_seen), "preview").select(
+    blocks = grid.scan_blocks(lines, rows_seen)
+    top = grid.preview(blocks, rows_seen).select(
         "file", "row_no", grid.cells_of(F.col("line"), delimiter, quoted).alias("cells")
     )
     names = [m.name for m in spec.inputs]
@@ -165,8 +170,6 @@ def map_files(
     else:
         mapping = M.alias_proposal(headers, aliases, names)
     mapping = saved(mapping, "mapping")
-    feeds = files.select(F.col("file").alias("feed_id"), "target_table")
-    missing = M.missing_plan(M.missing_columns(mapping, feeds, targets), spec.columns)
 
     entry = F.struct("column_name", "ordinal")
     layouts = M.column_names(mapping).groupBy(F.col("feed_id").alias("file")).agg(
@@ -178,7 +181,7 @@ def map_files(
     cells = body.withColumn("__cells", grid.cells_of(F.col("line"), delimiter, quoted))
     cell = lambda i: F.get("__cells", F.get(LAYOUT, F.lit(i)) - 1)
     rows = cells.select("file", "row_no", LAYOUT, *[cell(i).alias(n) for i, n in enumerate(names)])
-    return MappedFiles(rows, mapping, header_rows, missing, spec.threshold)
+    return MappedFiles(rows, mapping, header_rows, targets, spec)
 
 
 def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFrame:
