@@ -29,7 +29,7 @@ from loadsieve.llm.common import slices, small_batches, table
 from loadsieve.session import saved
 
 CAPACITY = 2048
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 #: No token goes on from an ASCII letter to an ASCII character that is none.
 END = re.compile(rb"(?<=[a-z])(?=[^a-z\s\x80-\xff])")
 
