@@ -4,7 +4,6 @@ import random
 import re
 from difflib import SequenceMatcher
 
-from pyspark.sql import functions as F
 
 from loadsieve.functions.text import canonical_key_py as key
 from loadsieve.operators import headers as H

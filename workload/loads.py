@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from loadsieve.operators import mapping as M
 from loadsieve.operators import report as R
-from loadsieve.operators import validate as V
 from loadsieve.plans import load as L
 from loadsieve.plans.fixed_schema import fixed_schema_spec, header_aliases
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
