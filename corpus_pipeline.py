@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsieve.llm.mixing import mixed
+from loadsieve.llm.near_copies import without_near_copies
 from loadsieve.llm.packing import pack_pieces, token_pieces
 from loadsieve.llm.repetition import judge_repetition
-from loadsieve.llm.simhash import one_per_group
 from loadsieve.llm.surrogates import replace_entities, secret_key
 from loadsieve.session import saved
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return one_per_group(docs)
+    """One document of each group of near duplicates: 5-word shingles, fingerprints within 7 bits, Jaccard similarity of 0.8 or more."""
+    return without_near_copies(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

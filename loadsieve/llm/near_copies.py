@@ -1,0 +1,168 @@
+"""Edited copies: candidates from the byte index of simhash.py at a wider radius, verified by exact Jaccard similarity.
+
+A node is a distinct text as its shingles tell (sid, a hash of all of them), with its fingerprint and its number of different shingles. Two nodes are linked
+when their fingerprints differ in at most MAX_BITS bits and the sets of their shingles have a Jaccard similarity of at least SIMILARITY. Eight bytes with at most seven
+differing bits share one byte at least, so every such pair meets in a list of one positional byte (8 lists a node); bits and sizes are compared there.
+
+All pairs of a large group of copies would be quadratic, so links are found in two turns. First each list is walked breadth-first, which gives as many
+candidates as join its members; those that verification keeps make components. Then the nodes that had a candidate are paired again, all of them, but only
+across components. The components are those of all verified pairs. Only texts with a candidate are read again for their sets.
+
+A list holds 1/256 of the nodes, so comparisons (numbers in memory) grow with the square of the nodes; rows don't. Only nodes that lie within the radius of each other
+and stay apart by similarity make a row for each pair. Texts without words are copies of each other.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loadsieve.llm.common import components, small_batches
+from loadsieve.llm.simhash import BYTES, SEED, majority_bits, shingle_hashes
+from loadsieve.session import saved
+
+#: Fixed values of the stage. Seven bits are the most at which a shared positional byte is certain.
+SHINGLE, MAX_BITS, SIMILARITY_PERCENT = 5, 7, 80
+
+
+def with_nodes(docs: DataFrame) -> DataFrame:
+    """key, sid, fp, n for docs (key, text)."""
+    schema = docs.select("key", *(F.lit(0).cast("long").alias(c) for c in ("sid", "fp", "n"))).schema
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            rows = []
+            for text in batch.column(1):
+                hashes = np.sort(shingle_hashes(text.as_py(), SHINGLE))
+                sid = xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+                rows.append((sid - (1 << 64) if sid >> 63 else sid, majority_bits(hashes), len(np.unique(hashes))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))], names=schema.names)
+
+    return docs.select("key", "text").mapInArrow(marked, schema)
+
+
+def near(fp: int, n: int, fps: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """Which may be similar enough: few differing bits, and sizes whose ratio is no smaller than the similarity."""
+    found = np.bitwise_count((fps ^ fp).view("<u8")) <= MAX_BITS
+    found[found] = 100 * np.minimum(ns[found], n) >= SIMILARITY_PERCENT * np.maximum(ns[found], n)
+    return found
+
+
+def walked(sids: np.ndarray, fps: np.ndarray, ns: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that join all members of a list which are reachable from each other, breadth-first."""
+    waiting = np.arange(len(fps))
+    while len(waiting) > 1:
+        queue, waiting = [waiting[0]], waiting[1:]
+        while queue and len(waiting):
+            x = queue.pop()
+            met = near(fps[x], ns[x], fps[waiting], ns[waiting])
+            if met.any():
+                found, waiting = waiting[met], waiting[~met]
+                queue += list(found)
+                yield np.full(len(found), sids[x]), sids[found]
+
+
+def across(at: int, sids: np.ndarray, fps: np.ndarray, ns: np.ndarray, roots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of different roots, each in the list of the first byte that it shares."""
+    order = np.argsort(roots, kind="stable")
+    sids, fps, ns, roots = (v[order] for v in (sids, fps, ns, roots))
+    ends = np.searchsorted(roots, roots, side="right")
+    for x, end in enumerate(ends):
+        found = end + np.flatnonzero(near(fps[x], ns[x], fps[end:], ns[end:]))
+        shared = (fps[found] ^ fps[x]).view(np.uint8).reshape(-1, BYTES) == 0
+        found = found[shared.argmax(1) == at] if len(found) else found
+        if len(found):
+            yield np.full(len(found), sids[x]), sids[found]
+
+
+def listed(nodes: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """at, members: the nodes by each of their positional bytes."""
+    spread = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("sid"))
+    byte = F.explode(F.array(*[F.struct(F.lit(p).alias("at"), F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(255)).alias("byte")) for p in range(BYTES)]))
+    lists = spread.select(*fields, byte.alias("key")).groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("members"))
+    return lists.where(F.size("members") > 1).select("key.at", "members")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sids, a < b. nodes: sid, fp, n, and root in the second turn."""
+    fields = tuple(c for c in ("sid", "fp", "n", "root") if c in nodes.columns)
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, members in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                columns = [members.values.field(c).to_numpy(zero_copy_only=False).astype("<i8") for c in fields]
+                held, rows = [], 0
+                for pair in across(at, *columns) if "root" in fields else walked(*columns):
+                    held, rows = [*held, pair], rows + len(pair[0])
+                    if rows > 100_000:
+                        yield emitted(held)
+                        held, rows = [], 0
+                if held:
+                    yield emitted(held)
+
+    return listed(nodes, fields).mapInArrow(paired, "a long, b long").distinct()
+
+
+def emitted(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """sid, shingles (the sorted set's bytes). texts: sid, text."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            sets = [np.unique(shingle_hashes(t.as_py(), SHINGLE)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["sid", "shingles"])
+
+    return texts.select("sid", "text").mapInArrow(made, "sid long, shingles binary")
+
+
+def similar(a: bytes, b: bytes) -> bool:
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= SIMILARITY_PERCENT * (len(x) + len(y) - both)
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that are similar enough."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_batches([whole]):
+                same = [similar(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+                yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    # a may be the centre of many pairs and comes last, where the planner may split its rows
+    both = pairs.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("of_b")), "b")
+    both = both.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("of_a")), "a")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(kept, "a long, b long")
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """docs with one document of each group of verified pairs, chosen as by simhash.one_per_group."""
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
+    hashed = lambda k: {"_one": F.xxhash64(k), "_two": F.xxhash64(F.lit(1), k)}
+    marked = saved(with_nodes(docs.select(key.alias("key"), "text")), "nodes")
+    nodes = saved(marked.groupBy("sid").agg(F.min("key").alias("key"), F.first("fp").alias("fp"), F.first("n").alias("n")), "distinct-nodes")
+    first = saved(candidates(nodes.select("sid", "fp", "n")), "candidates")
+    met = saved(nodes.join(first.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid"), "met")
+    wanted = met.select("sid", *(c.alias(n) for n, c in hashed("key").items()))
+    texts = docs.select("text", *(c.alias(n) for n, c in hashed(key).items())).join(wanted, ["_one", "_two"])
+    sets = saved(shingle_sets(texts).dropDuplicates(["sid"]), "shingle-sets")
+
+    links = saved(verified(first, sets), "verified")
+    roots = components(links).withColumnRenamed("node", "sid")
+    apart = met.select("sid", "fp", "n").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    more = verified(saved(candidates(apart), "candidates-across").join(first, ["a", "b"], "left_anti"), sets)
+    roots = components(links.unionByName(more)).withColumnRenamed("node", "sid")
+
+    kept = nodes.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("key").alias("key")).select(*(c.alias(n) for n, c in hashed("key").items()))
+    keyed = docs.withColumns(hashed(key))
+    return keyed.join(kept, ["_one", "_two"], "left_semi").dropDuplicates(["_one", "_two"]).drop("_one", "_two")

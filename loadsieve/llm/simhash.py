@@ -28,14 +28,22 @@ BYTES = 8
 SEED = 42
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """A signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """One hash for each shingle, repeats too."""
     words = (text or "").encode().lower().split()  # bytes: only A-Z, and only the six white-space characters
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     shingles = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
     join, digest = b" ".join, xxhash.xxh64_intdigest
-    hashes = np.array([digest(join(s), SEED) for s in shingles], "<u8")
+    return np.array([digest(join(s), SEED) for s in shingles], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """A signed 64-bit number."""
+    return majority_bits(shingle_hashes(text, shingle))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
     total = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]

@@ -1,0 +1,63 @@
+import random
+import re
+
+import corpus_pipeline
+from loadsieve.llm.near_copies import without_near_copies
+from loadsieve.llm.simhash import fingerprint
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute_kept(rows):
+    """Smallest doc_id of each group of pairs of at most 7 bits and similarity 0.8."""
+    sets, prints, group = [shingles(t) for _, t in rows], [fingerprint(t, 5) % (1 << 64) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 7 and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return sorted({min(d for (d, _), h in zip(rows, group) if h == g) for g in set(group)})
+
+
+def planted():
+    """Twelve texts, each with copies of one to three changed words, copies of copies, and halves that are no copies."""
+    draw, rows = random.Random(4), []
+    for _ in range(12):
+        words = [f"w{draw.randrange(4000)}" for _ in range(300)]
+        rows += [words, words[:150]]
+        for _ in range(6):
+            copy = list(rows[-1] if draw.random() < 0.5 and len(rows[-1]) == 300 else words)
+            for _ in range(draw.randrange(1, 4)):
+                copy[draw.randrange(300)] = f"new{draw.randrange(4000)}"
+            rows.append(copy)
+    draw.shuffle(rows)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_planted_edited_copies(spark):
+    rows = planted()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    ids = sorted(r.doc_id for r in got.collect())
+    assert ids == brute_kept(rows)
+    assert 24 <= len(ids) < 40  # of 96; an exact-copy filter keeps all
+
+
+def test_near_fingerprints_that_are_not_similar_stay_apart(spark):
+    """Many shingles of one kind decide all bits of the fingerprint; the sets differ."""
+    rows = [(i, " ".join(["la"] * 200 + [f"x{i}y{k}" for k in range(30)])) for i in range(8)]
+    assert max(((fingerprint(a, 5) ^ fingerprint(b, 5)) % (1 << 64)).bit_count() for _, a in rows for _, b in rows) <= 7
+    got = without_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(8))
+
+
+def test_edges(edge, nothing):
+    kept = without_near_copies(edge)
+    assert kept.columns == edge.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(1) == 1 and ids.count(None) == 1 and ids.count(2) == 1 and 3 not in ids and 4 not in ids
+    assert without_near_copies(nothing).count() == 0
