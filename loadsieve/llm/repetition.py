@@ -154,11 +154,12 @@ MEASURES = T.StructType(
 
 
 def judge_repetition(
-    docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.5, max_longest: int = 100
+    docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.3, max_longest: int = 50
 ) -> DataFrame:
     """Every column of docs and the measures; measures replace columns of docs that have their names (text may not be one).
 
-    min_words: shortest repeat that counts as covered. max_covered: largest covered part of the words. max_longest: longest repeat in words.
+    min_words: shortest repeat that counts as covered. max_covered: largest covered part of the words, below the base rules' half, as covered words also
+    lie in repeated windows. max_longest: longest repeat in words.
     """
     names = {f.name.lower() for f in MEASURES}
     kept_columns = [c for c in docs.columns if c.lower() not in names]

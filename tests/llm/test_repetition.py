@@ -89,3 +89,18 @@ def test_query(spark, sf_dir, docs):
         failed = n_words < 50 or 100 * n_repeat > 50 * n_words
         assert rows[r.doc_id].base_failed == failed
         assert rows[r.doc_id].kept == (not failed and covered <= 0.5 * n_words and longest <= 100)
+
+
+def test_each_limit_rejects_documents_that_pass_the_base_rules(spark):
+    fresh = iter(range(10_000))
+    new = lambda n: [f"u{next(fresh)}" for _ in range(n)]
+    a, b, long, fine = new(40), new(40), new(60), new(50)
+    texts = {
+        "covered": [*a, *new(100), *b, *new(100), *a, *new(40), *b],  # 160 of 400 words, longest 40
+        "longest": [*long, *new(880), *long],  # 120 of 1,000 words, longest 60
+        "neither": [*fine, *new(300), *fine],  # 100 of 400 words, longest 50
+    }
+    rows = {r.doc_id: r for r in judge_repetition(spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id string, text string")).collect()}
+    assert [(rows[k].n_words, rows[k].covered_words, rows[k].longest_repeat) for k in texts] == [(400, 160, 40), (1000, 120, 60), (400, 100, 50)]
+    assert not any(r.base_failed for r in rows.values())
+    assert [rows[k].kept for k in texts] == [False, False, True]
