@@ -45,7 +45,9 @@ PATTERNS = {
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
-    "phone": r"(?<![\w+.-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4})(?![\w-])",
+    "phone": r"(?<![\w+.-])(?:(?:(?:\+\d{1,3}|1)[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    r"|(?:\+|00)[1-9](?:\)?[ ./-]?\(?\d){7,14}(?<=\d\d)"
+    r"|(?<!/)(?:(?!\d\d[./-]\d\d[./-]\d{4}(?!\d)|\d{3}-\d\d-\d{4}(?![\w-]))\(?0[1-9](?:\)?[ ./-]?\(?\d){7,10}(?<=\d\d)|1?[2-9]\d{9})(?![.:]\d))(?![\w-])",
     "name": rf"(?<!\p{{L}})(?:{ANY_TITLE})\.?\s+({NAME}(?:\s{NAME}){{0,2}})",
 }
 FINDERS = {kind: regex.compile(p, regex.ASCII if kind != "name" else 0) for kind, p in PATTERNS.items()}
@@ -81,6 +83,8 @@ def normal(kind: str, raw: str) -> str | None:
     if kind == "phone":
         if not 8 <= len(digits) <= 15:
             return None
+        if digits[0] == "0":  # an international prefix, or a trunk 0 before a number whose country isn't known
+            return "+" + digits[2:] if digits[1] == "0" else digits
         return digits[1:] if len(digits) == 11 and digits[0] == "1" else digits if len(digits) == 10 else "+" + digits
     if kind == "iban":
         plain = raw.replace(" ", "")
@@ -167,6 +171,8 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
         for at in (0, 3):  # area and exchange codes start as they did: below two, or not
             if not kept and kind == "phone" and at < len(out):
                 out[at] = str(2 + draws.below(8)) if form[at] >= "2" else str(draws.below(2))
+        if kind == "phone" and form[0] == "0":  # a trunk 0 stays, and no second one comes
+            out[:2] = ["0", str(1 + draws.below(9))]
         return kept + "".join(out)
     if kind == "iban":
         body = draws.like(form[4:])

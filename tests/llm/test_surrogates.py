@@ -121,3 +121,34 @@ def test_edges(edge, nothing):
     assert out.columns == [c for c in edge.columns if c != "entities"] + ["entities"]
     assert sorted(str(r.text) for r in out.collect()) == sorted(str(r.text) for r in edge.collect())
     assert replace_entities(nothing, KEY).count() == 0
+
+
+PHONES = {
+    "+33 6 12 34 56 78": "+33612345678",
+    "+33 1 42 68 53 00": "+33142685300",
+    "+46 8 123 456 78": "+46812345678",
+    "+33 12 34 56 78 90": "+331234567890",
+    "0033 6 12 34 56 78": "+33612345678",
+    "1-800-555-0199": "8005550199",
+    "1 (800) 555-0199": "8005550199",
+    "18005550199": "8005550199",
+    "5551234567": "5551234567",
+    "06 12 34 56 78": "0612345678",
+    "06.12.34.56.78": "0612345678",
+    "030 1234567": "0301234567",
+    "(030) 1234567": "0301234567",
+}
+
+
+@pytest.mark.parametrize("phone", PHONES)
+def test_phone_spellings(phone):
+    text = f"call {phone}, or 2 others."
+    assert [(text[a:b], k, f) for a, b, k, f in entities_of(text)] == [(phone, "phone", PHONES[phone])]
+    made = rendered("phone", phone, surrogate(KEY, "phone", PHONES[phone], 0))
+    assert made != phone and [(k, f) for _, _, k, f in entities_of(f"call {made}.")] == [("phone", surrogate(KEY, "phone", PHONES[phone], 0))]
+    assert [c.isdigit() or c for c in made] == [c.isdigit() or c for c in phone]
+
+
+@pytest.mark.parametrize("text", ["01.02.2026 10:30", "01/02/2026 1000", "1700000000", "2026-12-01 10:30:00", "0.0123456789", "5551234567.89", "https://a.example/5551234567"])
+def test_no_phones(text):
+    assert entities_of(text) == []
