@@ -156,6 +156,8 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
     if kind == "ip":
         octets = form.split(".")
         private = 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] or octets[0] == "172" and 16 <= int(octets[1]) <= 31 else 0
+        if private and attempt >= 8:  # a block's room may run out: then any address of 10.0.0.0/8, and at last any public one
+            octets, private = (["10"], 1) if attempt < 24 else ([], 0)
         first = [str(1 + draws.below(222))] if not private else []
         while first and first[0] in ("10", "127", "172", "192"):
             first = [str(1 + draws.below(222))]

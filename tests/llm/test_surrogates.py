@@ -152,3 +152,12 @@ def test_phone_spellings(phone):
 @pytest.mark.parametrize("text", ["01.02.2026 10:30", "01/02/2026 1000", "1700000000", "2026-12-01 10:30:00", "0.0123456789", "5551234567.89", "https://a.example/5551234567"])
 def test_no_phones(text):
     assert entities_of(text) == []
+
+
+def test_more_addresses_than_a_private_block_has_room_for(spark):
+    """A block draws 254 * 254 addresses, of which none may be an original."""
+    forms = [f"192.168.{a}.{b}" for a in range(1, 161) for b in range(1, 255)]
+    rows = assign_surrogates(spark.createDataFrame([("ip", f) for f in forms], "kind string, form string"), KEY, max_rounds=24).collect()
+    assert sorted(r.form for r in rows) == sorted(forms)
+    assert len({r.stand_in for r in rows}) == len(forms) and not {r.stand_in for r in rows} & set(forms)
+    assert {r.stand_in.split(".")[0] for r in rows} == {"192", "10"}
