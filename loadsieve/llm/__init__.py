@@ -1,5 +1,6 @@
 """Operators for training corpora and their registered queries."""
 
+from loadsieve.llm.alignment import op13_token_alignment
 from loadsieve.llm.audit import AUDIT_SQL, op11_filter_audit
 from loadsieve.llm.classifier import op10_nb_svm_quality
 from loadsieve.llm.mixing import op3_pivotal_mixing
@@ -26,6 +27,7 @@ QUERIES = {
         op9_ball_tree_topk,
         op10_nb_svm_quality,
         op11_filter_audit,
+        op13_token_alignment,
     )
 }
 ORACLES = {"op4_trigram_index": secrets_sql(), "op9_ball_tree_topk": TOPK_SQL, "op11_filter_audit": AUDIT_SQL}
