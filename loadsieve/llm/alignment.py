@@ -21,8 +21,10 @@ import functools
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -43,6 +45,8 @@ PRINTABLE = ((33, 126), (161, 172), (174, 255))
 SPACE = "▁"
 #: Both sides cut before a space that follows no white space; one that ends a text stays with its run.
 RUNS = re.compile(r"(?<=\S) (?!\Z)")
+#: Texts without this have single spaces between their runs and nothing else there.
+LOOSE = re.compile(r"\s |\A | \Z")
 
 
 def byte_stand_ins() -> dict[str, int]:
@@ -141,15 +145,37 @@ def align(a_sizes: np.ndarray, b_sizes: np.ndarray, a_counts: np.ndarray, b_coun
 
 def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum())), counts
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+
+
+class Vocabulary:
+    """The bytes of all tokens of a side in a row, and its ids as they are written: before a comma, and as the last of their group."""
+
+    def __init__(self, tokens: list[bytes], last: str) -> None:
+        self.sizes = np.array([len(t) for t in tokens])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.raw = np.frombuffer(b"".join(tokens), np.uint8)
+        self.written = [f"{i},".encode() for i in range(len(tokens))] + [f"{i}{last}".encode() for i in range(len(tokens))]
+
+    def gives_back(self, ids: np.ndarray, counts: np.ndarray, items: list[bytes]) -> np.ndarray:
+        """Which items the tokens' bytes are."""
+        sizes = self.sizes[ids]
+        found = self.raw[np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        ends = np.r_[0, np.cumsum(sizes)][np.cumsum(counts)]
+        lengths = np.fromiter(map(len, items), np.int64, len(items))
+        same = np.diff(np.r_[0, ends]) == lengths
+        if same.all() and np.array_equal(found, np.frombuffer(b"".join(items), np.uint8)):
+            return same
+        return np.array([found[e - n : e].tobytes() == x if ok else False for e, n, x, ok in zip(ends.tolist(), lengths.tolist(), items, same, strict=True)], bool)
 
 
 class Runs:
-    """Runs met so far, numbered as they come: their counts, links (a * 2^32 + b) and written groups. KNOWN_RUNS at most, then begun anew."""
+    """Runs met so far, numbered as they come: their counts, links (a * 2^32 + b) and written groups. KNOWN_RUNS at most between chunks, then begun anew."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
-        self.a_sizes, self.b_sizes = (np.array([len(b) for b in side.bytes]) for side in (self.a, self.b))
+        self.of_a, self.of_b = Vocabulary(self.a.bytes, "|"), Vocabulary(self.b.bytes, ";")
+        self.written_ids = self.of_a.written + self.of_b.written
         self.forget()
 
     def bound(self) -> None:
@@ -158,49 +184,49 @@ class Runs:
             self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers: defaultdict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__  # a new run takes the next number
         self.whole = np.empty(0, bool)  # whether the tokens give back the bytes
-        self.counts = np.empty((4, 0), np.int64)  # n_a, n_b, n_groups, n_links
+        self.counts = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
         self.starts = np.empty(0, np.int64)
         self.links = np.empty(0, np.int64)
-        self.written: list[bytes] = []
+        self.written: list[bytes] = []  # groups, each with a semicolon
 
     def learn(self, runs: list[str]) -> None:
-        found = [self.a.encode(runs), self.b.encode(runs)]
         raw = [(" " + r).encode() for r in runs]
-        whole = np.array([b"".join(map(self.a.bytes.__getitem__, a)) == r == b"".join(map(self.b.bytes.__getitem__, b)) for a, b, r in zip(*found, raw, strict=True)], bool)
-        a_ids, b_ids = [[i if ok else [] for i, ok in zip(ids, whole, strict=True)] for ids in found]
-        (a, a_counts), (b, b_counts) = flat(a_ids), flat(b_ids)
-        got = align(self.a_sizes[a], self.b_sizes[b], a_counts, b_counts)
-        counts = np.stack([got.n_a, got.n_b, got.n_groups, got.n_links])
-        self.starts = np.r_[self.starts, len(self.links) + np.cumsum(counts[3]) - counts[3]]
+        (a, a_counts), (b, b_counts) = flat(self.a.encode(runs)), flat(self.b.encode(runs))
+        whole = self.of_a.gives_back(a, a_counts, raw) & self.of_b.gives_back(b, b_counts, raw)
+        if not whole.all():
+            a, b = a[np.repeat(whole, a_counts)], b[np.repeat(whole, b_counts)]
+            a_counts, b_counts = a_counts * whole, b_counts * whole
+        got = align(self.of_a.sizes[a], self.of_b.sizes[b], a_counts, b_counts)
+        counts = np.stack([got.n_a, got.n_b, got.n_groups, got.n_links], axis=1)
+        self.starts = np.r_[self.starts, len(self.links) + np.cumsum(counts[:, 3]) - counts[:, 3]]
         self.links = np.r_[self.links, (a[got.link_a] << 32) + b[got.link_b]]
-        self.counts = np.concatenate([self.counts, counts], axis=1)
+        self.counts = np.concatenate([self.counts, counts])
         self.whole = np.r_[self.whole, whole]
-        groups = [written(x, y) for x, y in zip(grouped(a, got.a_group), grouped(b, got.b_group), strict=True)]
-        ends = np.cumsum(got.n_groups).tolist()
-        self.written += [b";".join(groups[i:j]) for i, j in zip([0, *ends], ends)]
+        # a group's tokens of a, then those of b; the last of each side is followed by its sign
+        side = np.r_[2 * got.a_group, 2 * got.b_group + 1]
+        order = np.argsort(side, kind="stable")
+        last = np.r_[side[order][1:] != side[order][:-1], True] if len(side) else side
+        sizes = [len(v.sizes) for v in (self.of_a, self.of_b)]
+        places = np.r_[a, b + 2 * sizes[0]][order] + last * np.where(side[order] % 2, sizes[1], sizes[0])
+        texts = list(map(self.written_ids.__getitem__, places.tolist()))
+        ends = np.cumsum(got.n_a + got.n_b).tolist()
+        self.written += [b"".join(texts[i:j]) for i, j in zip([0, *ends], ends)]
 
     def numbered(self, texts: list[str | None]) -> list[np.ndarray]:
         """The runs of each text."""
-        numbers, known = self.numbers, len(self.numbers)
-        found = [np.array([numbers.setdefault(r, len(numbers)) for r in RUNS.split(t)] if t else [], np.int64) for t in texts]
-        if len(numbers) > known:
-            self.learn(list(numbers)[known:])
+        number, known = self.numbers.__getitem__, len(self.numbers)
+        found = [np.array(list(map(number, runs_of(t))) if t else [], np.int64) for t in texts]
+        if len(self.numbers) > known:
+            self.learn(list(islice(self.numbers, known, None)))
         # a literal stand-in for the space reads back as a space, so its text has no tokens
         return [f if self.whole[f].all() else f[:0] for f in found]
 
 
-def grouped(ids: np.ndarray, groups: np.ndarray) -> Iterator[list[int]]:
-    ends = np.flatnonzero(np.r_[groups[1:] != groups[:-1], True] if len(groups) else []) + 1
-    values, start = ids.tolist(), 0
-    for end in ends.tolist():
-        yield values[start:end]
-        start = end
-
-
-def written(a: list[int], b: list[int]) -> bytes:
-    return (",".join(map(str, a)) + "|" + ",".join(map(str, b))).encode()
+def runs_of(text: str) -> list[str]:
+    return RUNS.split(text) if LOOSE.search(text) else text.split(" ")
 
 
 @functools.cache
@@ -238,11 +264,11 @@ class Chunk:
         self.chars += sum(len(t or "") for t in texts)
         for f in known.numbered(texts):
             self.runs.append(f.astype(np.int32))
-            self.digests.append(hashlib.sha256(b";".join([known.written[i] for i in f.tolist()])).hexdigest() if len(f) else "")
+            self.digests.append(hashlib.sha256(b"".join([known.written[i] for i in f.tolist()])[:-1]).hexdigest() if len(f) else "")
 
     def batches(self, known: Runs, schema: pa.Schema, at_once: int = 2048) -> Iterator[pa.RecordBatch]:
         runs, places = np.unique(np.concatenate([np.empty(0, np.int32), *self.runs]), return_inverse=True)
-        sizes = known.counts[3, runs]
+        sizes = known.counts[runs, 3]
         at = np.repeat(known.starts[runs] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         pairs, slots = np.unique(known.links[at], return_inverse=True)
         seen = np.repeat(np.bincount(places, minlength=len(runs)), sizes)
@@ -257,7 +283,7 @@ class Chunk:
             own, n = self.runs[i : i + at_once], len(self.runs[i : i + at_once])
             ends = start + np.cumsum([len(f) for f in own])
             mine = [places[e - len(f) : e].astype("<i4").tobytes() for e, f in zip(ends, own, strict=True)]
-            sums = np.array([known.counts[:, f].sum(1) for f in own]).T
+            sums = np.array([known.counts[f].sum(0) for f in own]).T
             start = int(ends[-1])
             columns = dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums, strict=True))
             yield filled(schema, n, {"kind": ["doc"] * n, "chunk": np.full(n, self.number), "doc_id": ids.slice(i, n), "groups_sha256": self.digests[i : i + n], "runs": mine} | columns)
@@ -340,7 +366,7 @@ def with_groups(docs: DataFrame, text: str = "text", name: str = "groups", a_pat
             texts, found = batch.column(len(rest)).to_pylist(), []
             for i, j in slices(texts, 1_000_000):
                 for runs in known.numbered(texts[i:j]):
-                    groups = [g.split(b"|") for r in runs.tolist() for g in known.written[r].split(b";")]
+                    groups = [g.split(b"|") for r in runs.tolist() for g in known.written[r][:-1].split(b";")]
                     found.append([{side: [int(i) for i in ids.split(b",")] for side, ids in zip("ab", g, strict=True)} for g in groups])
                 known.bound()
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(found, kind)], names=[*rest, name])
