@@ -24,8 +24,7 @@ from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_column
 from loadsieve.operators.validate import annotate, validate
 from loadsieve.plans.spec import LoadSpec
 from loadsieve.session import saved, small_frame
-from loadsieve.sources import grid
-from loadsieve.sources import sinks
+from loadsieve.sources import commits, grid, records, sinks
 from loadsieve.sources import stores
 
 LAYOUT = "__layout"
@@ -90,7 +89,11 @@ class LoadResult:
 @dataclass(frozen=True)
 class LoadPaths:
     """Where a target's rows, rejects, staged and annotated loads, ledger, remembered mapping and
-    header positions live (shared storage)."""
+    header positions live (shared storage).
+
+    With `log`, a load is one transaction (sources/commits.py): its tables are read with `read_table`,
+    and its ledger events are part of the log.
+    """
 
     target: str
     rejects: str
@@ -99,19 +102,25 @@ class LoadPaths:
     annotated: str
     rules: str
     header_rows: str
+    log: str = ""
 
     @classmethod
-    def under(cls, base: str) -> LoadPaths:
+    def under(cls, base: str, atomic: bool = False) -> LoadPaths:
         names = ("target", "rejects", "staged", "ledger", "annotated", "rules", "header_rows")
-        return cls(*[f"{base}/{n}" for n in names])
+        return cls(*[f"{base}/{n}" for n in names], f"{base}/log" if atomic else "")
+
+    def read_table(self, spark: SparkSession, tbl: str, columns: str = "", load_ids: Sequence[str] | None = None) -> DataFrame:
+        """A table (target, rejects, annotated, staged) as the last published load left it; `columns` where none may be published."""
+        return commits.snapshot(spark, self.log, getattr(self, tbl), tbl, columns, load_ids)
 
 
 @dataclass(frozen=True)
 class DeleteWhere:
-    """Pre-load action: remove the matching rows. The result goes to a new path."""
+    """Pre-load action: remove the matching rows. Loads that are transactions rewrite the files that
+    hold such rows; for others the whole result goes to a new path."""
 
     condition: Column
-    new_path: str
+    new_path: str = ""
 
 
 TRUNCATE = "truncate"
@@ -137,6 +146,7 @@ def map_files(
     delimiter: str = "|",
     quoted: bool = False,
     aliases: DataFrame | None = None,
+    multiline: bool = False,
 ) -> MappedFiles:
     """Find each file's header row, map its headers to the target, and lay its rows out.
 
@@ -145,13 +155,19 @@ def map_files(
     all files go through one plan and the lines themselves meet a single join. The text is read
     twice: once for the block table, which also holds the first rows, and once for the load.
     `aliases` (key, alias) takes the place of matching: headers are renamed by that table only.
+    `multiline`: quoted cells may hold line breaks; rows are records then (sources/records.py).
     """
-    lines = grid.scan_lines(spark, path)
     rows_seen = max(H.PREVIEW_ROWS, spec.header_row or 0)
-    blocks = grid.scan_blocks(lines, rows_seen)
-    top = grid.preview(blocks, rows_seen).select(
-        "file", "row_no", grid.cells_of(F.col("line"), delimiter, quoted).alias("cells")
-    )
+    if multiline:
+        text = records.scan_records(spark, path, delimiter, rows_seen)
+        first, numbered = text.preview(rows_seen), text.numbered
+        cells_in = lambda line: records.split_records(line, delimiter)
+    else:
+        lines = grid.scan_lines(spark, path)
+        blocks = grid.scan_blocks(lines, rows_seen)
+        first, numbered = grid.preview(blocks, rows_seen), lambda *given: grid.number_lines(lines, blocks, *given)
+        cells_in = lambda line: grid.cells_of(line, delimiter, quoted)
+    top = first.select("file", "row_no", cells_in(F.col("line")).alias("cells"))
     names = [m.name for m in spec.inputs]
     scored = saved(H.score_rows(top, names, spec.threshold).drop("cells"), "header-scores")
     files = scored.select("file").distinct().withColumn("target_table", F.lit(spec.target))
@@ -177,8 +193,8 @@ def map_files(
     )
     at = F.array(*[F.try_element_at("by_name", F.lit(n)) for n in names])
     placed = header_rows.select("file", "header_row").join(layouts, "file", "left").select("file", "header_row", at.alias(LAYOUT))
-    body = grid.number_lines(lines, blocks, placed, ["header_row", LAYOUT]).filter(F.col("row_no") > F.col("header_row"))
-    cells = body.withColumn("__cells", grid.cells_of(F.col("line"), delimiter, quoted))
+    body = numbered(placed, ["header_row", LAYOUT]).filter(F.col("row_no") > F.col("header_row"))
+    cells = body.withColumn("__cells", cells_in(F.col("line")))
     cell = lambda i: F.get("__cells", F.get(LAYOUT, F.lit(i)) - 1)
     rows = cells.select("file", "row_no", LAYOUT, *[cell(i).alias(n) for i, n in enumerate(names)])
     return MappedFiles(rows, mapping, header_rows, targets, spec)
@@ -248,48 +264,44 @@ def load_rows(
     staged = stage(rows, spec, keep).observe(counts, *summary_columns())
     # loadable rows need no raw text any more, but for an annotated copy of the source
     slim = staged.withColumns({"raw": F.when(bad | F.lit(annotated), F.col("raw")), "rejected": bad})
-    folder = sinks.load_folder(spark, paths.staged, load_id)
-    slim.write.mode("overwrite").partitionBy("rejected").parquet(folder)
+    out = commits.Attempt(spark, paths.log, load_id) if paths.log else sinks.InPlace(spark, load_id)
+    folder = out.write(slim, paths.staged, "staged", ["rejected"])
     seen = counts.get
     # reading back with a known schema spares a footer scan and stands an empty outcome
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in staged.schema.fields]).add("rejected", "boolean")
     mine = spark.read.schema(schema).parquet(folder)
 
     raw = [F.col(f"raw.{m.name}").alias(m.name) for m in spec.inputs]
-    sinks.write_load(mine.filter(F.col("rejected")).select(*keep, *raw, ERRORS_COLUMN), paths.rejects, load_id)
-    if annotated:
-        sinks.write_load(annotate(mine, spec, keep), paths.annotated, load_id)
+    out.write(mine.filter(F.col("rejected")).select(*keep, *raw, ERRORS_COLUMN), paths.rejects, "rejects")
+    told = out.write(annotate(mine, spec, keep), paths.annotated, "annotated") if annotated else ""
 
     final = final_columns(mine.filter(~F.col("rejected")), spec, load_time)
     target = paths.target
     first = parent_load_id is None
-    if first and pre_action == TRUNCATE:
-        sinks.write_overwrite(final, target, load_id)
-    elif first and isinstance(pre_action, DeleteWhere):
+    loaded = mine.filter(~F.col("rejected")).select(*keep)
+    if first and isinstance(pre_action, DeleteWhere) and not paths.log:
         target = pre_action.new_path
         sinks.write_replace_where(final, spark, paths.target, target, pre_action.condition, load_id)
     else:
-        sinks.write_load(final, target, load_id)
+        out.write(final, target, "target")
+        if first and pre_action == TRUNCATE:
+            out.truncate(target, "target")
+        elif first and isinstance(pre_action, DeleteWhere):
+            out.delete_where(target, "target", pre_action.condition)
 
     status = None
     if seen["rows_valid"] and first:
         status = STATUS_PARTIAL if seen["rows_invalid"] else STATUS_OK
-    _log(spark, paths, load_id, parent_load_id, source, seen, load_time, keep)
-    return LoadResult(
-        load_id,
-        seen["rows_read"],
-        seen["rows_valid"],
-        seen["rows_invalid"],
-        status,
-        target,
-        paths.rejects,
-        folder,
-        sinks.load_folder(spark, paths.annotated, load_id) if annotated else "",
-    )
+    events = _events(spark, paths, load_id, parent_load_id, source, seen, load_time, keep, loaded)
+    if paths.log:
+        out.publish([dict(zip(T.StructType.fromDDL(stores.LEDGER).names, e)) for e in events])
+    else:
+        stores.append_store(small_frame(spark, events, stores.LEDGER).coalesce(1), paths.ledger)
+    return LoadResult(load_id, seen["rows_read"], seen["rows_valid"], seen["rows_invalid"], status, target, paths.rejects, folder, told)
 
 
 def _ledger(spark: SparkSession, paths: LoadPaths) -> DataFrame:
-    return stores.latest_events(stores.read_store(spark, paths.ledger, stores.LEDGER))
+    return stores.latest_events(commits.ledger(spark, paths.log) if paths.log else stores.read_store(spark, paths.ledger, stores.LEDGER))
 
 
 def _ancestors(ledger: DataFrame, parent: str | None) -> list[Row]:
@@ -314,38 +326,41 @@ def _retries_of(ledger: DataFrame, load_id: str) -> list[str]:
     return found
 
 
-def _loaded_keys(spark: SparkSession, paths: LoadPaths, load_ids: Sequence[str], keep: Sequence[str]) -> DataFrame | None:
-    """Keys of the rows that some loads brought in, from their staged copies."""
-    parts = [spark.read.parquet(sinks.load_folder(spark, paths.staged, i)).where("NOT rejected").select(*keep) for i in load_ids]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+def _rows_of(spark: SparkSession, paths: LoadPaths, tbl: str, load_ids: Sequence[str]) -> DataFrame:
+    """What some loads have in a table."""
+    if paths.log:
+        return paths.read_table(spark, tbl, load_ids=load_ids)
+    return reduce(DataFrame.unionByName, [spark.read.parquet(sinks.load_folder(spark, getattr(paths, tbl), i)) for i in load_ids])
 
 
-def _waiting(spark: SparkSession, paths: LoadPaths, ledger: DataFrame, load_id: str, keep: Sequence[str], but: str = "") -> DataFrame:
-    """Keys of a load's rejects that none of its retries (other than one) has brought in."""
-    rejects = spark.read.parquet(sinks.load_folder(spark, paths.rejects, load_id)).select(*keep)
-    loaded = _loaded_keys(spark, paths, [i for i in _retries_of(ledger, load_id) if i != but], keep)
-    return rejects if loaded is None else rejects.join(loaded, list(keep), "left_anti")
+def _waiting(
+    spark: SparkSession, paths: LoadPaths, ledger: DataFrame, load_id: str, keep: Sequence[str], but: str = "", also: DataFrame | None = None
+) -> DataFrame:
+    """Keys of a load's rejects that none of its retries (other than one) has brought in, nor the rows `also`."""
+    rejects = _rows_of(spark, paths, "rejects", [load_id]).select(*keep)
+    others = [i for i in _retries_of(ledger, load_id) if i != but]
+    # rows in the target come from the staged copies of the loads
+    loaded = _rows_of(spark, paths, "staged", others).where("NOT rejected").select(*keep) if others else None
+    for rows in (loaded, also):
+        rejects = rejects if rows is None else rejects.join(rows, list(keep), "left_anti")
+    return rejects
 
 
-def _log(spark, paths, load_id, parent, source, seen, load_time, keep) -> None:
+def _events(spark, paths, load_id, parent, source, seen, load_time, keep, loaded) -> list[tuple]:
     """Ledger events of a load. A load that has no reject waiting any more is closed with its own
-    counts, whichever of its retries brought the last one in."""
+    counts, whichever of its retries brought the last one in. loaded: keys of the rows this load brings in."""
     before = _ledger(spark, paths)
     mine = before.filter(F.col("load_id") == load_id).first()
     version = max(int(load_time.timestamp() * 1000), mine["version"] + 1 if mine else 0)
     counts = (seen["rows_read"], seen["rows_valid"], seen["rows_invalid"])
-    rows = [(load_id, parent, source, *counts, stores.LOADED, version)]
+    events = [(load_id, parent, source, *counts, stores.LOADED, version)]
     if seen["rows_invalid"] and seen["rows_valid"]:
-        rows.append((load_id, parent, source, *counts, stores.RETRY_OPEN, version + 1))
-    stores.append_store(small_frame(spark, rows, stores.LEDGER).coalesce(1), paths.ledger)
-    now = _ledger(spark, paths)
-    done = []
-    for r in _ancestors(now, parent):
-        if _waiting(spark, paths, now, r["load_id"], keep).isEmpty():
+        events.append((load_id, parent, source, *counts, stores.RETRY_OPEN, version + 1))
+    for r in _ancestors(before, parent):
+        if _waiting(spark, paths, before, r["load_id"], keep, but=load_id, also=loaded).isEmpty():
             own = (r["rows_read"], r["rows_valid"], r["rows_invalid"])
-            done.append((r["load_id"], r["parent_load_id"], r["source"], *own, stores.RETRY_DONE, max(version, r["version"] + 1)))
-    if done:
-        stores.append_store(small_frame(spark, done, stores.LEDGER).coalesce(1), paths.ledger)
+            events.append((r["load_id"], r["parent_load_id"], r["source"], *own, stores.RETRY_DONE, max(version, r["version"] + 1)))
+    return events
 
 
 def remember(spark: SparkSession, mapped: MappedFiles, spec: LoadSpec, paths: LoadPaths, version: int) -> None:
@@ -379,6 +394,7 @@ def load_files(
     aliases: DataFrame | None = None,
     only_sure: bool = False,
     annotated: bool = False,
+    multiline: bool = False,
 ) -> tuple[LoadResult | None, MappedFiles]:
     """First load from text files: header rows, mapping, validation, target, rejects, ledger.
 
@@ -390,7 +406,7 @@ def load_files(
         rules = stores.read_store(spark, paths.rules, stores.RULES)
     if stored_headers is None:
         stored_headers = stores.latest_header_rows(stores.read_store(spark, paths.header_rows, stores.HEADER_ROWS))
-    mapped = map_files(spark, path, spec, rules, stored_headers, delimiter, quoted, aliases)
+    mapped = map_files(spark, path, spec, rules, stored_headers, delimiter, quoted, aliases, multiline)
     if only_sure and mapped.needs_review():
         return None, mapped
     if aliases is None:

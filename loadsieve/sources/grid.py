@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from loadsieve.operators.headers import PREVIEW_ROWS
 from loadsieve.session import saved
 
-def _literal(delimiter: str) -> str:
+def literal(delimiter: str) -> str:
     """The delimiter as a pattern: any text of any length, taken literally."""
     return re.sub(r"([^A-Za-z0-9\s])", r"\\\1", delimiter)
 
 
 def split_cells(line: Column, delimiter: str = "|") -> Column:
     """Cells of one delimited line without quoting."""
-    return F.split(line, _literal(delimiter), -1)
+    return F.split(line, literal(delimiter), -1)
 
 
 def split_quoted(line: Column, delimiter: str = "|") -> Column:
@@ -30,7 +30,7 @@ def split_quoted(line: Column, delimiter: str = "|") -> Column:
     A cell is quoted when its closing quote ends it, else its quotes are text. The same function
     reads headers and data, whatever their width.
     """
-    d = _literal(delimiter)
+    d = literal(delimiter)
     plain = f"[^{d}]*+" if len(delimiter) == 1 else f"(?:(?!{d}).)*+"
     cell = f'(?s){d}("[^"]*+(?:""[^"]*+)*+"(?={d}|$)|{plain})'
     cells = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(cell), F.lit(1))

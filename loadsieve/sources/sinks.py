@@ -28,11 +28,8 @@ def write_load(df: DataFrame, path: str, load_id: str, columns: Sequence[str] |
     chosen.write.mode("overwrite").parquet(load_folder(df.sparkSession, path, load_id))
 
 
-def write_overwrite(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
-    """Truncate and load: the new partition first, then the others go. A repeat after a failure
-    between the two gives the same target."""
-    write_load(df, path, load_id, columns)
-    spark = df.sparkSession
+def drop_other_loads(spark: SparkSession, path: str, load_id: str) -> None:
+    """Take the other loads' partitions away. A repeat after a failure in between gives the same target."""
     own = load_folder(spark, path, load_id).rsplit("/", 1)[1]
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -41,16 +38,43 @@ def write_overwrite(df: DataFrame, path: str, load_id: str, columns: Sequence[st
             files.delete(entry.getPath(), True)
 
 
+def write_overwrite(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None) -> None:
+    """Truncate and load: the new partition first, then the others go."""
+    write_load(df, path, load_id, columns)
+    drop_other_loads(df.sparkSession, path, load_id)
+
+
 def write_replace_where(
     df: DataFrame, spark: SparkSession, current: str, new_path: str, condition: Column, load_id: str
 ) -> None:
-    """Delete-where and load into a new path: the current table without the matching rows plus
-    the new rows. A null condition keeps the row, as a delete would."""
-    old = spark.read.parquet(current).filter(~F.coalesce(condition, F.lit(False)) & (F.col("load_id") != load_id))
+    """Delete-where and load into a new path: the current table, if there is one, without the matching
+    rows plus the new rows. A null condition keeps the row, as a delete would."""
     fresh = df.withColumn("load_id", F.lit(load_id))
+    try:
+        old = spark.read.parquet(current)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        old = fresh.limit(0)
+    old = old.filter(~F.coalesce(condition, F.lit(False)) & (F.col("load_id") != load_id))
     old.unionByName(fresh, allowMissingColumns=True).write.mode("overwrite").partitionBy("load_id").parquet(new_path)
 
 
+class InPlace:
+    """The outputs of a load that is no transaction: each is its own folder, in place of what the same load wrote before."""
+
+    def __init__(self, spark: SparkSession, load_id: str) -> None:
+        self.spark, self.load_id = spark, load_id
+
+    def write(self, df: DataFrame, base: str, tbl: str, partition_by: Sequence[str] = ()) -> str:
+        folder = load_folder(self.spark, base, self.load_id)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        return folder
+
+    def truncate(self, base: str, tbl: str) -> None:
+        drop_other_loads(self.spark, base, self.load_id)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], batch_size: int = 1000, **options: str) -> None:
     """Append over JDBC. Each task commits on its own, so hand over staged, finished rows only."""
     writer = df.select(*columns).write.mode("append").format("jdbc")

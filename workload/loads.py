@@ -14,8 +14,8 @@ from loadsieve.operators import report as R
 from loadsieve.plans import load as L
 from loadsieve.plans.fixed_schema import fixed_schema_spec, header_aliases
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
-from loadsieve.session import shared_dir, small_frame
-from loadsieve.sources import grid, sinks, stores
+from loadsieve.session import saved, shared_dir, small_frame
+from loadsieve.sources import commits, grid, records, sinks, stores
 from loadsieve.streaming.ingest import ingest
 from workload import ducksql as D
 from workload.fixtures import duck, frame, table
@@ -101,6 +101,47 @@ def scan_delimited(spark, d):
     return reduce(DataFrame.unionByName, out)
 
 
+def broken_lines(spark, d) -> str:
+    """Sheets of the dirty orders whose quoted cells hold delimiters, quotes and line breaks."""
+    rows = frame(spark, d, "dirty_orders").withColumn("f", F.expr(FILE_OF))
+    note = F.expr("CASE k % 4 WHEN 0 THEN '\"a|\n\"\"b\"\"\n\"' WHEN 1 THEN '\"\n' || k || '\n\n\"' WHEN 2 THEN 'c\"d' ELSE '' END")
+    cells = F.concat_ws("|", F.col("k").cast("string"), note, *[F.coalesce(c, F.lit("")) for c in ("raw_date", "raw_total", "raw_flag")])
+    head = rows.select("f").distinct().select("f", F.lit(-1).cast("bigint").alias("k"), F.lit('Id fila|"Origen\n"|Fecha pedido|Importe total|Pedido activo').alias("value"))
+    folder = shared_dir(spark, "broken-lines")
+    files = rows.select("f", "k", cells.alias("value")).unionByName(head)
+    files.repartition("f").sortWithinPartitions("f", "k").select("f", "value").write.partitionBy("f").text(folder)
+    return folder
+
+
+def _in_small_blocks(spark, work):
+    """Run work with file blocks of 20,000 bytes, whose edges cut many records."""
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20000")
+    try:
+        return work()
+    finally:
+        spark.conf.set(size, before)
+
+
+def scan_line_breaks(spark, d):
+    """Records of several lines, numbered by record, whatever blocks their lines lie in."""
+
+    def work():
+        read = records.scan_records(spark, broken_lines(spark, d)).numbered().where(F.col("row_no") > 0)
+        cells = F.concat_ws("~", records.split_records(F.col("line"), "|")).alias("cells")
+        return saved(read.select(_file_number(F.col("file")).alias("f"), "row_no", cells), "read-records")
+
+    return _in_small_blocks(spark, work)
+
+
+def load_line_breaks(spark, d):
+    """A load of sheets with line breaks in their cells and in a header."""
+    paths = _paths(spark)
+    _in_small_blocks(spark, lambda: L.load_files(spark, broken_lines(spark, d), SHEET, paths, "first", LOAD_TIME, multiline=True))
+    return sheet_target(spark, paths)
+
+
 def latest_file(spark, d):
     files = table(spark, d, "events").select(
         "event_type", F.concat(F.lit("f"), F.col("event_id")).alias("path"), F.col("ts").alias("modificationTime")
@@ -129,13 +170,16 @@ REJECTS = "k BIGINT, fecha STRING, total STRING, activo STRING, errores STRING,
 
 def _seed(spark, d, path):
     """Earlier contents of the target: rejected or not, the plainly readable totals of `part`."""
-    old = table(spark, d, "part").select(
+    sinks.write_load(_old_rows(spark, d), path, "old")
+
+
+def _old_rows(spark, d):
+    return table(spark, d, "part").select(
         F.expr("date_add(DATE'2020-01-01', p_size)").alias("fecha"),
         F.col("p_retailprice").alias("total"),
         (F.col("p_size") % 2 == 0).alias("activo"),
         F.col("p_brand").alias("creador"),
     )
-    sinks.write_load(old, path, "old")
 
 
 def append_load(spark, d):
@@ -160,6 +204,40 @@ def replace_where_load(spark, d):
     return spark.read.schema(TARGET).parquet(done.target_path)
 
 
+def atomic_load(spark, d):
+    """What readers see of a target before, during and after a load that is a transaction, and after loads that were
+    killed: one before it published, one between its writes. Reports rows by moment."""
+    paths = L.LoadPaths.under(shared_dir(spark, "load"), atomic=True)
+    _seed_commit(spark, d, paths, "old")
+    seen = lambda moment: paths.read_table(spark, "target").select(F.lit(moment).alias("moment"), "*")
+    before = seen("before")
+    killed = commits.Attempt(spark, paths.log, "killed")
+    killed.write(_old_rows(spark, d), paths.target, "target")
+    killed.truncate(paths.target, "target")
+    during = seen("during")
+    _load(spark, d, paths)
+    return before.unionByName(during).unionByName(seen("after"))
+
+
+def delete_where_load(spark, d):
+    """Delete-where in a transaction over a target of several loads, and on a target that is not there yet."""
+    paths, fresh = (L.LoadPaths.under(shared_dir(spark, "load"), atomic=True) for _ in range(2))
+    for n in range(3):
+        _seed_commit(spark, d, paths, f"old {n}", F.col("creador").endswith(str(n + 1)))
+    out = []
+    for name, p in (("there", paths), ("absent", fresh)):
+        _load(spark, d, p, pre_action=L.DeleteWhere(F.col("activo")))
+        out.append(p.read_table(spark, "target").select(F.lit(name).alias("target"), "*"))
+    return out[0].unionByName(out[1])
+
+
+def _seed_commit(spark, d, paths, load_id, condition=None):
+    old = commits.Attempt(spark, paths.log, load_id)
+    rows = _old_rows(spark, d)
+    old.write(rows if condition is None else rows.where(condition), paths.target, "target")
+    old.publish()
+
+
 def reject_sink(spark, d):
     paths = _paths(spark)
     _load(spark, d, paths)
@@ -342,6 +420,10 @@ def stream_layouts(spark, d):
 QUERIES = {
     "scan_grid": scan_grid,
     "scan_delimited": scan_delimited,
+    "scan_line_breaks": scan_line_breaks,
+    "load_line_breaks": load_line_breaks,
+    "atomic_load": atomic_load,
+    "delete_where_load": delete_where_load,
     "header_beyond_block": header_beyond_block,
     "load_unmapped_file": load_unmapped_file,
     "load_repeat": load_repeat,
@@ -425,7 +507,20 @@ def oracles() -> dict[str, str]:
   ['PEDIDO ACTIVO','Importe Total (EUR)','Id Fila','Fechas Pedido'] ELSE ['Id fila','Fecha pedido','Importe totl','Pedido activo'] END) AS raw_header,
   unnest(CASE WHEN f % 2 = 1 THEN ['pedido_activo','importe_total','id_fila','fecha_pedido']
     ELSE ['id_fila','fecha_pedido','importe_total','pedido_activo'] END) AS target"""
+    note = r"""CASE k % 4 WHEN 0 THEN 'a|'||chr(10)||'"b"'||chr(10) WHEN 1 THEN chr(10)||k||chr(10)||chr(10) WHEN 2 THEN 'c"d' ELSE '' END"""
+    # what the cell becomes as a value: trimmed, and a blank one takes the column's default
+    note_value = f"coalesce(nullif(trim({note}, ' '||chr(10)), ''), NULL)"
     return {
+        "scan_line_breaks": f"""SELECT CAST(floor(k / 1000) AS BIGINT) AS f,
+  CAST(row_number() OVER (PARTITION BY CAST(floor(k / 1000) AS BIGINT) ORDER BY k) AS BIGINT) AS row_no,
+  concat_ws('~', CAST(k AS VARCHAR), {note}, {", ".join(map(text_of, ("raw_date", "raw_total", "raw_flag")))}) AS cells FROM ({base}) q""",
+        "load_line_breaks": f"""SELECT k AS id_fila, fecha AS fecha_pedido, total AS importe_total, activo AS pedido_activo,
+  {note_value} AS origen, 'Massive Import' AS creador FROM ({staged}) s WHERE errores = ''""",
+        "atomic_load": f"""SELECT 'before' AS moment, * FROM ({old}) a UNION ALL SELECT 'during', * FROM ({old}) b
+UNION ALL SELECT 'after', * FROM ({old} UNION ALL {fresh}) c""",
+        "delete_where_load": f"""SELECT 'there' AS target, * FROM (SELECT fecha, total, activo, creador, 'old '||(CAST(right(creador, 1) AS INTEGER) - 1) AS load_id
+  FROM ({old}) o WHERE NOT coalesce(activo, false) AND right(creador, 1) IN ('1', '2', '3') UNION ALL {fresh}) t
+UNION ALL SELECT 'absent', * FROM ({fresh}) n""",
         "scan_delimited": " UNION ALL ".join(
             f"SELECT '{sep}{quoted}' AS kind, {quoted_cells(sep) if quoted else plain_cells} AS cells, 5 AS width FROM ({base}) q"
             for sep, quoted in (("^", False), ("||", False), ("||", True), ("|", True))
