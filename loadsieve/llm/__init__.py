@@ -3,6 +3,7 @@
 from loadsieve.llm.alignment import op13_token_alignment
 from loadsieve.llm.audit import AUDIT_SQL, op11_filter_audit
 from loadsieve.llm.classifier import op10_nb_svm_quality
+from loadsieve.llm.language import op12_gru_language
 from loadsieve.llm.mixing import op3_pivotal_mixing
 from loadsieve.llm.packing import op5_bin_completion
 from loadsieve.llm.repetition import op1_suffix_array_repetition
@@ -27,6 +28,7 @@ QUERIES = {
         op9_ball_tree_topk,
         op10_nb_svm_quality,
         op11_filter_audit,
+        op12_gru_language,
         op13_token_alignment,
     )
 }
