@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import table, word_count
+from loadsieve.llm.common import table, unused, word_count
 from loadsieve.session import saved
 
 LEAF = 24
@@ -116,11 +116,15 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), weights: tuple[int
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
-    """The documents of the mix, each as often as it is taken. Rows alike in doc_id, source and text are one document of so many rows."""
-    keyed = docs.withColumn("_one", F.xxhash64("doc_id", "source", "text")).withColumn("_two", F.xxhash64(F.lit(1), "doc_id", "source", "text"))
-    taken = mix(keyed, ("_one", "_two"), weights, most).groupBy("_one", "_two").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    once = keyed.join(taken, ["_one", "_two"]).dropDuplicates(["_one", "_two"])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents of the mix, each as often as it is taken. Rows alike in doc_id, source and text are one document of so many rows.
+
+    All columns of docs pass, whatever their names."""
+    one, two, times = (unused(docs.columns, c) for c in ("one", "two", "times"))
+    keyed = docs.withColumn(one, F.xxhash64("doc_id", "source", "text")).withColumn(two, F.xxhash64(F.lit(1), "doc_id", "source", "text"))
+    taken = mix(keyed.select(one, two, "doc_id", "source", "text"), (one, two), weights, most).groupBy(one, two).agg(F.sum("copies").alias(times)).where(F.col(times) > 0)
+    once = keyed.join(taken, [one, two]).dropDuplicates([one, two])
+    every = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(unused(docs.columns, "copy"))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns], every).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import table
+from loadsieve.llm.common import table, unused
 from loadsieve.session import saved, small_frame
 
 
@@ -164,28 +164,32 @@ def rule_spans(text: Column, rule: Rule) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text: str = "text") -> DataFrame:
-    """Every column of docs (doc_id and the text among them) and found, the rules' spans (start, end, kind) in order of start, then of the rules."""
+    """Every column of docs (doc_id and the text among them) and found, the rules' spans (start, end, kind) in order of start, then of the rules.
+
+    found replaces a column of that name; all others pass, whatever their names."""
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) != ANY}
     grams = {g for q in queries.values() for alternative in q for g in alternative}
     full = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = docs.drop("found").withColumn("_hash", F.xxhash64(full))
-    spaces = keyed.select("doc_id", full.alias("text"), F.col("_hash").alias("text_hash"))
+    docs = docs.drop("found")
+    hash_of, kinds_of, other_id, other_hash = (unused(docs.columns, c) for c in ("own_hash", "own_kinds", "other_id", "other_hash"))
+    keyed = docs.withColumn(hash_of, F.xxhash64(full))
+    spaces = keyed.select("doc_id", full.alias("text"), F.col(hash_of).alias("text_hash"))
     if grams:
         postings = saved(posting_lists(spaces, grams), "postings")
-        kinds = saved(candidates(postings, queries), "candidates").withColumnRenamed("doc_id", "_doc").withColumnRenamed("text_hash", "_text")
-        keyed = keyed.join(kinds, keyed["doc_id"].eqNullSafe(kinds["_doc"]) & (keyed["_hash"] == kinds["_text"]), "left").drop("_doc", "_text")
+        kinds = saved(candidates(postings, queries), "candidates").select(F.col("doc_id").alias(other_id), F.col("text_hash").alias(other_hash), F.col("kinds").alias(kinds_of))
+        keyed = keyed.join(kinds, keyed["doc_id"].eqNullSafe(kinds[other_id]) & (keyed[hash_of] == kinds[other_hash]), "left").drop(other_id, other_hash)
     else:
-        keyed = keyed.withColumn("kinds", F.lit(None).cast("array<string>"))
+        keyed = keyed.withColumn(kinds_of, F.lit(None).cast("array<string>"))
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
 
     def ordered(rank: int, rule: Rule) -> Column:
         spans = rule_spans(full, rule)
         if rule.kind in queries:
-            spans = F.when(F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)), spans).otherwise(none)
+            spans = F.when(F.coalesce(F.array_contains(kinds_of, rule.kind), F.lit(False)), spans).otherwise(none)
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
 
     every = F.sort_array(F.concat(*[ordered(i, r) for i, r in enumerate(rules)]))
-    return keyed.withColumn("found", F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop("kinds", "_hash")
+    return keyed.withColumn("found", F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop(kinds_of, hash_of)
 
 
 def joined(spans: Column) -> Column:

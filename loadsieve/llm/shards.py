@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import table
+from loadsieve.llm.common import table, unused
 from loadsieve.session import saved
 
 #: Fixed values of the published method: multiplier of the generator, the modulus 2^64, and 2^33 and 2^31 of the jump.
@@ -46,10 +46,11 @@ def jump_points(key: Column, limit: int) -> Column:
 
 
 def with_shards(df: DataFrame, key: str, shards: int) -> DataFrame:
-    """Adds shard, and grown_shard: where the row would be with one shard more."""
-    points = F.filter(F.col("_points"), lambda p: p < shards)
-    placed = df.withColumn("_points", jump_points(F.xxhash64(key), shards + 1))
-    return placed.withColumn("shard", F.element_at(points, -1)).withColumn("grown_shard", F.element_at("_points", -1)).drop("_points")
+    """Adds shard, and grown_shard: where the row would be with one shard more; columns of these names are replaced, all others pass."""
+    at = unused(df.columns, "points")
+    points = F.filter(F.col(at), lambda p: p < shards)
+    placed = df.withColumn(at, jump_points(F.xxhash64(key), shards + 1))
+    return placed.withColumn("shard", F.element_at(points, -1)).withColumn("grown_shard", F.element_at(at, -1)).drop(at)
 
 
 def with_slots(df: DataFrame, columns: list[str], rows_per_chunk: int = 1000) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import components, small_batches, table
+from loadsieve.llm.common import components, small_batches, table, unused
 from loadsieve.session import saved
 
 BYTES = 8
@@ -136,9 +136,10 @@ def one_per_group(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> DataF
     marked = saved(with_fingerprints(docs.select(key.alias("key"), "text"), shingle=shingle), "fingerprints")
     least = marked.groupBy("fp").agg(F.min("key").alias("key"))
     kept = least.join(fingerprint_groups(marked, max_bits), "fp").groupBy("root").agg(F.min("key").alias("key"))
-    kept = kept.select(F.xxhash64("key").alias("_one"), F.xxhash64(F.lit(1), "key").alias("_two"))
-    keyed = docs.withColumn("_one", F.xxhash64(key)).withColumn("_two", F.xxhash64(F.lit(1), key))
-    return keyed.join(kept, ["_one", "_two"], "left_semi").dropDuplicates(["_one", "_two"]).drop("_one", "_two")
+    one, two = (unused(docs.columns, c) for c in ("one", "two"))
+    kept = kept.select(F.xxhash64("key").alias(one), F.xxhash64(F.lit(1), "key").alias(two))
+    keyed = docs.withColumn(one, F.xxhash64(key)).withColumn(two, F.xxhash64(F.lit(1), key))
+    return keyed.join(kept, [one, two], "left_semi").dropDuplicates([one, two]).drop(one, two)
 
 
 def op7_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:

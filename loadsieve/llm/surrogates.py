@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsieve.llm.common import small_batches, table
+from loadsieve.llm.common import small_batches, table, unused
 from loadsieve.session import saved
 
 #: Titles by the gender that they tell.
@@ -239,9 +239,12 @@ def assign_surrogates(entities: DataFrame, key: bytes, max_rounds: int = 200) ->
     raise ValueError("too few surrogates of some kind for its entities")
 
 
-def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """docs with surrogates in the text, and entities: what was replaced (kind, start, end in the old text)."""
-    docs = docs.drop("entities")
+def replace_entities(docs: DataFrame, key: bytes, text: str = "text", name: str = "entities") -> DataFrame:
+    """docs with surrogates in the text, and (in a column of that name, in place of one of docs) what was replaced: kind, start, end in the old text.
+
+    All other columns pass, whatever their names."""
+    docs = docs.drop(name)
+    edits_of, hash_of = (unused(docs.columns, c) for c in ("edits", "text_hash"))
     may = F.coalesce(F.col(f"`{text}`").rlike(MAY_HOLD), F.lit(False))
     hashed = F.sha2(F.col(f"`{text}`"), 256)
     suspects = docs.where(may)
@@ -249,9 +252,9 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
     distinct = saved(mentions.select("kind", "form").distinct(), "entities")
     stand_ins = assign_surrogates(distinct, key)
     edits = mentions.join(stand_ins, ["kind", "form"]).groupBy("text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind", "raw", "stand_in"))).alias("_edits")
+        F.sort_array(F.collect_list(F.struct("start", "end", "kind", "raw", "stand_in"))).alias(edits_of)
     )
-    marked = suspects.withColumn("_hash", hashed).join(edits.withColumnRenamed("text_hash", "_hash"), "_hash", "left").drop("_hash")
+    marked = suspects.withColumn(hash_of, hashed).join(edits.withColumnRenamed("text_hash", hash_of), hash_of, "left").drop(hash_of)
     at, width = docs.columns.index(text), len(docs.columns)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,9 +271,9 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     none = F.array().cast("array<struct<start:int,end:int,kind:string,raw:string,stand_in:string>>")
-    marked = marked.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_edits", none).alias("_edits"))
-    whole = marked.mapInArrow(rewrite, marked.schema).unionByName(docs.where(~may).withColumn("_edits", none))
-    return whole.withColumn("entities", F.transform("_edits", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))).drop("_edits")
+    marked = marked.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(edits_of), none).alias(edits_of))
+    whole = marked.mapInArrow(rewrite, marked.schema).unionByName(docs.where(~may).withColumn(edits_of, none))
+    return whole.withColumn(name, F.transform(edits_of, lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))).drop(edits_of)
 
 
 def secret_key(spark: SparkSession) -> bytes:
