@@ -7,28 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadsieve.llm.common import unused
 from loadsieve.llm.mixing import mixed
-from loadsieve.llm.near_copies import without_near_copies
 from loadsieve.llm.packing import pack_pieces, token_pieces
-from loadsieve.llm.repetition import judge_repetition
+from loadsieve.llm.repetition import MEASURES, judge_repetition
+from loadsieve.llm.simhash import one_per_group
 from loadsieve.llm.surrogates import replace_entities, secret_key
 from loadsieve.session import saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the repetition rules keep."""
-    return judge_repetition(docs).where("kept").select(*docs.columns)
+    whole, own = unused(MEASURES.names, "whole"), [F.col(f"`{c}`") for c in docs.columns]
+    judged = judge_repetition(docs.select(F.struct(*own).alias(whole), F.col("text")))
+    return judged.where("kept").select(f"{whole}.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: 5-word shingles, fingerprints within 7 bits, Jaccard similarity of 0.8 or more."""
-    return without_near_copies(docs)
+    """One document of each group of near duplicates, by fingerprints of 3-word shingles within 2 bits."""
+    return one_per_group(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Surrogates in place of personal data; n_chars follows the new text."""
-    done = replace_entities(docs, secret_key(spark)).drop("entities")
-    return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    """Surrogates in place of personal data; n_chars, where there is one, follows the new text."""
+    found = unused(docs.columns, "found")
+    done = replace_entities(docs, secret_key(spark), name=found).drop(found)
+    counted = {f.name: F.char_length("text").cast(f.dataType) for f in docs.schema if f.name == "n_chars"}
+    return done.withColumns(counted).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
