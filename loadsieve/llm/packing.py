@@ -14,10 +14,10 @@ Null texts count as empty: one piece of length 1 (id 0). Repeated rows are packe
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -30,15 +30,21 @@ from loadsieve.session import saved
 
 CAPACITY = 2048
 KNOWN_WORDS = 600_000
-#: No token goes on from an ASCII letter to an ASCII character that is none.
-END = re.compile(rb"(?<=[a-z])(?=[^a-z\s\x80-\xff])")
+#: No token goes on from an ASCII letter to an ASCII character that is none. By byte: is it a lower-case letter, and may it follow one without being its token's?
+LETTERS = np.array([97 <= b <= 122 for b in range(256)])
+ENDS = np.array([b < 128 and not 97 <= b <= 122 and b not in (32, 9, 10, 11, 12, 13) for b in range(256)])
 
 
 def parts(text: str | None) -> list[bytes]:
     """The parts of a text whose ids can be had one by one. The tokenizer lower-cases, but for its special tokens: a text that may hold one is only
     split at white space."""
     raw = (text or "").encode()
-    return raw.split() if b"<|" in raw else END.sub(b" ", raw.lower()).split()
+    if b"<|" in raw:
+        return raw.split()
+    raw = raw.lower()
+    codes = np.frombuffer(raw, np.uint8)
+    ends = np.flatnonzero(LETTERS[codes[:-1]] & ENDS[codes[1:]]) + 1
+    return (np.insert(codes, ends, 32).tobytes() if len(ends) else raw).split()
 
 
 class WordEncoder:
@@ -51,7 +57,8 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__  # a new part takes the next number
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
@@ -61,21 +68,21 @@ class WordEncoder:
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
         self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
         self.sizes = np.r_[self.sizes, sizes]
-        self.ids = np.r_[self.ids, np.fromiter((i for e in encoded for i in e), np.uint32, int(sizes.sum()))]
+        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (with the end of the last)."""
         if len(self.numbers) > KNOWN_WORDS:
             self.forget()
         split = [parts(t) for t in texts]
-        known, numbers = len(self.numbers), self.numbers
-        found = np.fromiter((numbers.setdefault(w, len(numbers)) for ws in split for w in ws), np.int64, sum(map(len, split)))
-        if len(numbers) > known:
-            self.learn(list(numbers)[known:])
+        known, counts = len(self.numbers), [len(ws) for ws in split]
+        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
+        if len(self.numbers) > known:
+            self.learn(list(islice(self.numbers, known, None)))
         sizes = self.sizes[found]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.starts[found] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        words = np.cumsum([0, *map(len, split)])
+        words = np.cumsum([0, *counts])
         return ids, np.r_[0, ends][words]
 
 
@@ -220,21 +227,31 @@ def fillings(room: int, left: np.ndarray, width: int) -> list[tuple[int, ...]]:
     return [f for f in ordered if not dominated(f, room, left)][:width] or ordered[:1]
 
 
-def complete_bins(lengths: list[int], capacity: int = CAPACITY, width: int = 3, more_nodes: int = 500) -> list[list[int]]:
-    """A packing of the lengths as lists of lengths. more_nodes: steps of the search beyond one for each sequence."""
+def complete_bins(lengths: list[int], capacity: int = CAPACITY, width: int = 3, more_nodes: int = 500, widest: int = 96) -> list[list[int]]:
+    """A packing of the lengths as lists of lengths. more_nodes: steps of the search beyond one for each sequence.
+
+    A node follows `width` fillings at most. A search that ends without meeting the bound is begun again with twice as many, up to `widest`, while steps remain.
+    """
     lengths = sorted(lengths, reverse=True)
     best = best_fit(lengths, capacity)
+    bound = -(-sum(lengths) // capacity)
+    nodes, max_nodes = 0, len(best) + more_nodes
+    while len(best) > bound and nodes < max_nodes and width <= widest:
+        best, nodes = searched(lengths, best, bound, capacity, width, nodes, max_nodes)
+        width *= 2
+    return best
+
+
+def searched(lengths: list[int], best: list[list[int]], bound: int, capacity: int, width: int, nodes: int, max_nodes: int) -> tuple[list[list[int]], int]:
+    """The better of `best` and what a search of this width finds, and the steps taken so far."""
     total = sum(lengths)
-    bound = -(-total // capacity)
-    left = np.bincount(lengths, minlength=capacity + 1) if lengths else np.zeros(capacity + 1, np.int64)
+    left = np.bincount(lengths, minlength=capacity + 1)
     path: list[tuple[int, ...]] = []
-    wasted, nodes = [0], 0
+    wasted = [0]
     waiting: list[list[tuple[int, ...]]] = []
-    max_nodes = len(best) + more_nodes
     while len(best) > bound and nodes < max_nodes:
         nodes += 1
         rest = np.flatnonzero(left)
-        allowed = (len(best) - 1) * capacity - total
         if not len(rest):
             if len(path) < len(best):
                 best = [list(p) for p in path]
@@ -244,6 +261,7 @@ def complete_bins(lengths: list[int], capacity: int = CAPACITY, width: int = 3,
             options = [(largest, *f) for f in fillings(capacity - largest, left, width)]
             left[largest] += 1
             waiting.append(options[::-1])
+        allowed = (len(best) - 1) * capacity - total
         while waiting:  # on to the next filling that may still lead to a better packing
             if len(path) == len(waiting):
                 np.add.at(left, list(path.pop()), 1)
@@ -260,7 +278,7 @@ def complete_bins(lengths: list[int], capacity: int = CAPACITY, width: int = 3,
                 waiting.pop()
         else:
             break
-    return best
+    return best, nodes
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, block_pieces: int = 4096) -> DataFrame:

@@ -62,11 +62,12 @@ def smallest(lengths, capacity):
 
 def test_small_packings_are_the_smallest():
     draw = random.Random(7)
-    for _ in range(150):
-        lengths = [draw.randrange(1, 60) for _ in range(draw.randrange(1, 11))]
-        got = complete_bins(lengths, 60, width=8)
-        assert sorted(x for b in got for x in b) == sorted(lengths) and all(sum(b) <= 60 for b in got)
-        assert len(got) == smallest(lengths, 60)
+    for turn in range(300):  # with the settings of the query
+        capacity = (60, 2048)[turn % 2]
+        lengths = [draw.randrange(1, capacity // (1 + turn % 3)) for _ in range(draw.randrange(1, 14))]
+        got = complete_bins(lengths, capacity)
+        assert sorted(x for b in got for x in b) == sorted(lengths) and all(sum(b) <= capacity for b in got)
+        assert len(got) == smallest(lengths, capacity)
 
 
 def test_completion_beats_or_equals_best_fit():
