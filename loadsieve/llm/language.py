@@ -202,7 +202,7 @@ def read_states(e: np.ndarray, u: np.ndarray, codes: np.ndarray, active: np.ndar
     return out
 
 
-def label_positions(w: Weights, raws: list[bytes], window: int, at_once: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def label_positions(w: Weights, raws: list[bytes], window: int, at_once: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For some windows at a time: the text and place of every position (of the windows' bytes), and the probabilities there as (language, position).
 
     at_once: windows that are read together; so few stay in the caches, and the products don't call up more threads.
@@ -235,7 +235,7 @@ def pooled(w: Weights, raws: list[bytes], window: int) -> np.ndarray:
     return (sums / np.maximum(1, [len(r) for r in raws])).T
 
 
-def train_languages(docs: DataFrame, max_rows: int = 4_000, windows: int = 4, hidden: int = 12, rounds: int = 400) -> tuple[list[str], Weights | None]:
+def train_languages(docs: DataFrame, max_rows: int = 4_000, windows: int = 4, hidden: int = 8, rounds: int = 400) -> tuple[list[str], Weights | None]:
     """Learned languages and weights. docs: doc_id, text, lang of training rows."""
     rows = docs.where("lang IS NOT NULL AND text <> ''")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
