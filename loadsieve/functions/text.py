@@ -25,8 +25,15 @@ def whitespace() -> str:
     return "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
+def _begins_visibly(c: Column) -> Column:
+    """Whether a text begins with a visible ASCII character, none of which is white space. A comparison of bytes."""
+    return (c >= "!") & (c < "\x7f")
+
+
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(whitespace()))
+    # measured: trimming by a list of characters costs several times as much as looks at both ends
+    trimmed = _begins_visibly(c) & _begins_visibly(F.right(c, F.lit(1)))
+    return F.when(trimmed, c).otherwise(F.btrim(c, F.lit(whitespace())))
 
 
 def clean_text(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
