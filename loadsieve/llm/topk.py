@@ -67,13 +67,24 @@ def direction(part: np.ndarray) -> np.ndarray:
     return part[((part - one) ** 2).sum(1).argmax()] - one
 
 
+#: Stands for no score.
+NONE = np.iinfo(np.int64).min + 1
+
+
+def products(queries: np.ndarray, rows: np.ndarray, reach: float) -> np.ndarray:
+    """Inner products of whole numbers, exact: in double precision where no product of norms (reach) leaves it, else in 64-bit integers, which are slower."""
+    if reach < 2**53:
+        return (queries @ rows.T).astype(np.int64)
+    return queries.astype(np.int64) @ rows.T.astype(np.int64)
+
+
 def search(tree: BallTree, queries: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids of the k best of the tree for each query, filled up with -inf; what is below a query's bound may be left out.
+    """Scores and ids of the k best of the tree for each query, filled up with NONE; what is below a query's bound may be left out.
 
     own: each query's id, which is left out. A node whose upper bound equals the kth score is still visited, for ties go to the smaller id.
     """
     n = len(queries)
-    best = np.full((n, k), -np.inf)
+    best = np.full((n, k), NONE)
     who = np.full((n, k), np.iinfo(np.int64).max)
     norms = np.sqrt((queries**2).sum(1))
     leaves = np.flatnonzero(tree.leaves)
@@ -83,14 +94,15 @@ def search(tree: BallTree, queries: np.ndarray, own: np.ndarray, bound: np.ndarr
     for node in range(1, len(tree.radii)):  # a node reaches no higher than the ball around it
         upper[:, node] = np.minimum(upper[:, node], upper[:, parents[node]])
     upper = upper[:, leaves]
+    long = np.array([np.sqrt((tree.rows[tree.firsts[x] : tree.lasts[x]] ** 2).sum(1).max()) for x in leaves])
     kth = bound.copy()
     open_ = np.ones(upper.shape, bool)
 
     def visit(leaf: int, those: np.ndarray) -> None:
         a, b = tree.firsts[leaves[leaf]], tree.lasts[leaves[leaf]]
         open_[those, leaf] = False
-        scores = queries[those] @ tree.rows[a:b].T
-        scores[own[those][:, None] == tree.ids[None, a:b]] = -np.inf
+        scores = products(queries[those], tree.rows[a:b], norms[those].max() * long[leaf])
+        scores[own[those][:, None] == tree.ids[None, a:b]] = NONE
         hopeful = scores.max(1) >= kth[those]
         those, scores = those[hopeful], scores[hopeful]
         if len(those):
@@ -127,11 +139,9 @@ def whole_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
 def top_k(vectors: DataFrame, is_query: Column, k: int, shard_rows: int = 16_384, block_rows: int = 2_048) -> DataFrame:
     """query_id, rank, vec_id, score. vectors: vec_id, v, of a written table.
 
-    Scores are exact while |v|^2 stays below 2^53, which is checked.
+    Scores are exact as long as they fit 64 bits.
     """
-    total, most = vectors.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
-    if (most or 0) >= 2**53:
-        raise ValueError("vectors are too long for exact scores in double precision")
+    total = vectors.count()
     shards = max(1, -(-total // shard_rows))
     rows = vectors.select("vec_id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
     queries = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dims")).dropDuplicates()
@@ -146,9 +156,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, shard_rows: int = 16_384
         as_rows = lambda s: np.array(s.tolist(), float).reshape(len(s), -1)
         tree = ball_tree(as_rows(right.v), right.vec_id.to_numpy())
         best, who = search(tree, as_rows(left.v), left.query_id.to_numpy(), left.bound.to_numpy(), k)
-        there = np.isfinite(best)
+        there = best > NONE
         ids = np.repeat(left.query_id.to_numpy(), there.sum(1))
-        return pd.DataFrame({"query_id": ids, "vec_id": who[there], "score": best[there].astype("int64")})
+        return pd.DataFrame({"query_id": ids, "vec_id": who[there], "score": best[there]})
 
     schema = "query_id long, vec_id long, score long"
     tasks = max(1, min(blocks * shards, 4096))

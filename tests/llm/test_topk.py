@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loadsieve.llm import ORACLES, QUERIES
@@ -28,9 +29,6 @@ def test_many_shards_and_ties_against_brute_force(spark):
     draw = random.Random(9)
     rows = [(i, [float(draw.choice([-1, -0.5, 0, 0.25, 1])) for _ in range(4)]) for i in range(900)]
     rows += [(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(900, 1300)]
-    rows = [(i, spark_floats) for i, spark_floats in rows]
-    import numpy as np
-
     rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
     assert run(spark, rows, shard_rows=200, block_rows=40) == brute(rows, 5, lambda i: i % 10 == 0)
 
@@ -43,6 +41,16 @@ def test_edges(spark):
     assert run(spark, [(0, [1.0])]) == []
 
 
+def test_long_vectors_against_brute_force(spark):
+    """Squared lengths of 2^53 and more: doubles would mix up neighbouring scores."""
+    draw = random.Random(10)
+    rows = [(i, [float(draw.randint(-3, 3)) for _ in range(3)]) for i in range(200)]
+    rows += [(i, [400_000.0 + i / 256, float(draw.randint(-400_000, 400_000)), 1.0]) for i in range(200, 260)]
+    rows += [(i, [2.0**20, 2.0**20 + (i - 300) / 8, 2.0**19]) for i in range(300, 330)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert run(spark, rows, shard_rows=60, block_rows=20) == brute(rows, 5, lambda i: i % 10 == 0)
+
+
 def test_query(spark, sf_dir):
     assert differences(spark, connect(sf_dir), QUERIES["op9_ball_tree_topk"], ORACLES["op9_ball_tree_topk"], sf_dir) is None
     assert differences(spark, connect(sf_dir), QUERIES["op4_trigram_index"], ORACLES["op4_trigram_index"], sf_dir) is None
