@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import cached_property, reduce
 
@@ -44,6 +44,18 @@ class MappedFiles:
     header_rows: DataFrame
     targets: DataFrame
     spec: LoadSpec
+    approved: DataFrame | None = None
+
+    @property
+    def near_repeats(self) -> DataFrame:
+        """Headers that look like numbered copies of another one, with their targets."""
+        return H.near_repeat_report(self.mapping.select("feed_id", "ordinal", "raw_header"), self.mapping)
+
+    @property
+    def asks_approval(self) -> DataFrame:
+        """The near repeats that this mapping would load, as pairs to approve."""
+        taken = self.near_repeats.where(~F.col("target").isin("", M.IGNORE))
+        return taken.select(F.lit(self.spec.target).alias("target_table"), "raw_header", "target").distinct()
 
     @cached_property
     def missing(self) -> DataFrame:
@@ -63,9 +75,12 @@ class MappedFiles:
         return M.auto_confirm(self.mapping)
 
     def needs_review(self) -> bool:
-        """Whether some file's mapping is not sure; a file without a usable header is not."""
+        """Whether some file's mapping is not sure (a file without a usable header is not), or its near
+        repeats are others than those approved last."""
         sure = self.auto_confirm.where("auto_confirm").select(F.col("feed_id").alias("file"))
-        return not self.header_rows.join(sure, "file", "left_anti").isEmpty()
+        if not self.header_rows.join(sure, "file", "left_anti").isEmpty():
+            return True
+        return self.approved is not None and not H.approvals_changed(self.asks_approval, self.approved).where("changed").isEmpty()
 
 
 @dataclass(frozen=True)
@@ -103,11 +118,13 @@ class LoadPaths:
     rules: str
     header_rows: str
     log: str = ""
+    review: str = ""
+    approvals: str = ""
 
     @classmethod
     def under(cls, base: str, atomic: bool = False) -> LoadPaths:
         names = ("target", "rejects", "staged", "ledger", "annotated", "rules", "header_rows")
-        return cls(*[f"{base}/{n}" for n in names], f"{base}/log" if atomic else "")
+        return cls(*[f"{base}/{n}" for n in names], f"{base}/log" if atomic else "", f"{base}/review", f"{base}/approvals")
 
     def read_table(self, spark: SparkSession, tbl: str, columns: str = "", load_ids: Sequence[str] | None = None) -> DataFrame:
         """A table (target, rejects, annotated, staged) as the last published load left it; `columns` where none may be published."""
@@ -373,6 +390,15 @@ def remember(spark: SparkSession, mapped: MappedFiles, spec: LoadSpec, paths: Lo
     stores.append_store(M.merge_rules(none, fresh), paths.rules)
 
 
+def approve(spark: SparkSession, mapped: MappedFiles, paths: LoadPaths, version: int) -> None:
+    """Save the near repeats of a mapping as approved, in place of those approved before."""
+    before = stores.read_store(spark, paths.approvals, stores.APPROVALS).where(F.col("target_table") == mapped.spec.target).agg(F.max("version")).first()[0]
+    version = max(version, version if before is None else before + 1)
+    none = small_frame(spark, [(mapped.spec.target, "", "")], "target_table STRING, raw_header STRING, target STRING")
+    rows = mapped.asks_approval.unionByName(none).withColumn("version", F.lit(version).cast("bigint"))
+    stores.append_store(rows.coalesce(1), paths.approvals)
+
+
 def accept_hints(spark: SparkSession, mapped: MappedFiles, spec: LoadSpec, paths: LoadPaths, version: int) -> None:
     """Remember the useful suggestions, so that the next mapping of these headers takes them."""
     hints = M.accept_suggestions(mapped.suggestions, spec.target, version).distinct()
@@ -399,18 +425,28 @@ def load_files(
     """First load from text files: header rows, mapping, validation, target, rejects, ledger.
 
     Mapping rules and header positions that earlier loads saved are used unless others are
-    given; what this load finds is saved before rows are written. With `only_sure`, nothing is
-    loaded or saved while some file's mapping asks for review, and the result is None.
+    given; what this load finds is saved before rows are written, and the mapping is written to
+    `review` for whoever checks it. With `only_sure`, nothing is
+    loaded or saved while some file's mapping asks for review (`approve` settles near repeats), and the
+    result is None.
     """
     if rules is None:
         rules = stores.read_store(spark, paths.rules, stores.RULES)
     if stored_headers is None:
         stored_headers = stores.latest_header_rows(stores.read_store(spark, paths.header_rows, stores.HEADER_ROWS))
     mapped = map_files(spark, path, spec, rules, stored_headers, delimiter, quoted, aliases, multiline)
+    if paths.approvals and aliases is None:
+        approved = stores.latest_approvals(stores.read_store(spark, paths.approvals, stores.APPROVALS))
+        mapped = replace(mapped, approved=approved)
     if only_sure and mapped.needs_review():
         return None, mapped
+    version = int(load_time.timestamp() * 1000)
     if aliases is None:
-        remember(spark, mapped, spec, paths, int(load_time.timestamp() * 1000))
+        remember(spark, mapped, spec, paths, version)
+    if mapped.approved is not None:
+        approve(spark, mapped, paths, version)
+    if paths.review:
+        sinks.write_load(mapped.mapping.coalesce(1), paths.review, load_id)
     source = path if isinstance(path, str) else ", ".join(path)
     done = load_rows(
         spark, mapped.rows, spec, paths, load_id, load_time, pre_action=pre_action, source=source, annotated=annotated

@@ -18,6 +18,9 @@ LEDGER = (
     "rows_invalid BIGINT, event STRING, version BIGINT"
 )
 
+# Approved near repeats; a row without a header stands for each saved set, so that an empty one is known.
+APPROVALS = "target_table STRING, raw_header STRING, target STRING, version BIGINT"
+
 # Event names of the ledger.
 LOADED, RETRY_OPEN, RETRY_DONE = "loaded", "retry_open", "retry_done"
 
@@ -35,6 +38,12 @@ def latest_header_rows(store: DataFrame) -> DataFrame:
     return store.groupBy("target_table", "file").agg(F.max_by("header_row", "version").alias("header_row"))
 
 
+def latest_approvals(store: DataFrame) -> DataFrame:
+    """The near repeats that were approved last for each target table."""
+    last = store.groupBy("target_table").agg(F.max("version").alias("version"))
+    return store.join(last, ["target_table", "version"], "left_semi").where(F.col("raw_header") != "").select("target_table", "raw_header", "target")
+
+
 def latest_events(ledger: DataFrame) -> DataFrame:
     """Last event per load with the fields it carried."""
     fields = [f for f in ledger.columns if f not in ("load_id", "version")]

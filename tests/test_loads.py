@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,6 +199,26 @@ def test_second_load_learns_from_the_first(spark, tmp_path):
     assert methods["Fechas inicio proyecto"] == "mapping_ini" and (methods["Observaciones"] == "mapping_ini") == ("nota" in hints)
 
 
+def test_near_repeats_ask_for_approval_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("Id|Id.1|Importe|Nota\n1|5|2|x\n")
+    spec = replace(SPEC, column_map={"Id": "id", "Id.1": "activo", "Importe": "importe", "Nota": "nota"})
+    paths = paths_at(tmp_path)
+    run = lambda load_id, **more: L.load_files(spark, str(source), spec, paths, load_id, NOW, **more)
+    done, mapped = run("a", only_sure=True)
+    assert done is None and [(r["raw_header"], r["target"]) for r in mapped.asks_approval.collect()] == [("Id.1", "activo")]
+    assert not os.path.exists(paths.review)
+    L.approve(spark, mapped, paths, 1)
+    done, _ = run("a", only_sure=True)
+    assert done is not None
+    review = spark.read.parquet(paths.review)
+    assert sorted((r["raw_header"], r["target"], r["load_id"]) for r in review.select("raw_header", "target", "load_id").collect())[1] == ("Id.1", "activo", "a")
+    (source / "a.txt").write_text("Id|Importe|Nota\n1|2|x\n")
+    assert run("b", only_sure=True)[0] is None  # the approved ones are not there any more
+    assert run("b")[0] is not None and run("c", only_sure=True)[0] is not None
+
+
 @pytest.mark.parametrize("sep,quoted,line,cells", [
     ("^", False, "a^b^", ["a", "b", ""]),
     ("||", False, "a|b||c", ["a|b", "c"]),
