@@ -7,7 +7,8 @@ about LEAF documents of like size, then FAN blocks' remainders at a time, level
 a source's words miss its target by half a document at most. A level is one grouped fold; a block's size is bounded, whatever the source.
 
 Everything is built-in functions. Draws are hashes of the two documents, so that reruns agree, however the rows are dealt. Rows alike in key, source and size are one
-unit of many and are expanded at the end. Documents without words are taken 0 times, of null texts too. The null source is a source, the last. Empty tables give empty results.
+unit of many and are expanded at the end. Documents without words are taken 0 times, of null texts too. The null source is a source, the last. Very long texts are counted whole. Empty tables give empty
+results. Other columns may have any name.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ than one sequence against a packing of everything at once. In a block, best-fit
 a branch and bound goes on: take the largest piece left, list the undominated fillings of the room beside it, best first, and follow those whose waste still
 allows a better packing than the incumbent. The search stops after a given number of steps and then keeps its incumbent; every piece is packed either way.
 
-Null texts count as empty: one piece of length 1 (id 0). Repeated rows are packed each. Empty tables give empty results.
+Null texts count as empty: one piece of length 1 (id 0). Repeated rows are packed each. A very long text is cut into pieces, whole. Empty tables give empty results. Only doc_id and text are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations

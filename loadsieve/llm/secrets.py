@@ -8,6 +8,7 @@ searched for the rule. Rules without a mandatory trigram, such as long hexadecim
 Everything is built-in functions. Spans count code points, ends exclusive: a text is split at a rule's matches, and the lengths of pieces and matches add up.
 
 Null texts count as empty. Repeated rows get their spans each; documents are told apart by doc_id (null too) and text. Empty tables give empty results.
+Very long texts are searched whole. Other columns may have any name, but `found` is replaced.
 """
 
 from __future__ import annotations

@@ -3,7 +3,8 @@
 No ring table is kept. Each key draws an increasing chain of jump points from a 64-bit linear congruential generator; the last point below the
 number of shards is its shard. Adding a shard can only add a point at the end, so 1 / (n + 1) of the rows move, all into the new shard.
 
-Null keys share one chain. Repeated rows keep a slot each. Null texts count as empty. An empty table gives an empty result.
+Null keys share one chain. Repeated rows keep a slot each. Null texts count as empty, very long ones are measured whole. An empty table gives an empty result.
+Columns may have any name, but `shard` and `grown_shard` are replaced.
 """
 
 from __future__ import annotations

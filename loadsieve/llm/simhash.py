@@ -7,7 +7,7 @@ fingerprints, whatever the input. In a list, the shared positional bytes of a pa
 compared. A list hands on only as many links as join its members, not every pair.
 
 Copies are folded into one fingerprint before anything else, so thousands of them cost one row. Null texts and texts without words have fingerprint zero and
-are linked like any other. Null doc_ids are ignored when a group's smallest is taken; a group of nulls only has a null component_id.
+are linked like any other. Very long texts are hashed whole. Other columns of the documents may have any name. Null doc_ids are ignored when a group's smallest is taken; a group of nulls only has a null component_id.
 """
 
 from __future__ import annotations
