@@ -304,6 +304,8 @@ def load_learns_mapping(spark, d):
 
 
 FIXED = fixed_schema_spec("grupo")
+# Rows of a fixed-layout file: lines by blocks of 250,000 keys, some 60 MB of text.
+FIXED_FILE_OF = "CAST(floor(k / 250000) AS BIGINT)"
 
 
 def fixed_cells() -> dict[str, str]:
@@ -324,11 +326,14 @@ def load_fixed_files(spark, d):
     keys = {r["alias"]: r["key"] for r in header_aliases(spark, "grupo").collect()}
     names = [c.name for c in FIXED.inputs]
     cells = fixed_cells()
-    rows = frame(spark, d, "dirty_lineitem").select("k", F.concat_ws("|", *[F.expr(cells[n]) for n in names]).alias("value"))
-    files = rows.withColumn("f", F.col("k") % 8)
-    head = files.select("f").distinct().select("f", F.lit(-1).cast("long").alias("k"), F.lit("|".join(keys[n] for n in names)).alias("value"))
+    # only keys are shuffled and sorted, as the wide lines follow from them; a file holds so many keys, so that files grow in number, not in size
+    keyed = frame(spark, d, "dirty_lineitem").select("k", F.expr(FIXED_FILE_OF).alias("f"), F.lit(False).alias("head"))
+    head = keyed.select(F.lit(-1).cast("long").alias("k"), "f", F.lit(True).alias("head")).distinct()
+    value = F.when(F.col("head"), "|".join(keys[n] for n in names)).otherwise(F.concat_ws("|", *[F.expr(cells[n]) for n in names]))
     folder = shared_dir(spark, "fixed")
-    files.unionByName(head).repartition("f").sortWithinPartitions("f", "k").select("f", "value").write.partitionBy("f").text(folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = keyed.unionByName(head).repartition(tasks, "f").sortWithinPartitions("f", "k")
+    files.select("f", value.alias("value")).write.partitionBy("f").option("compression", "gzip").text(folder)
     paths = _paths(spark)
     spec = replace(FIXED, header_row=1)
     L.load_files(spark, folder, spec, paths, "first", LOAD_TIME, aliases=header_aliases(spark, "grupo"))
