@@ -15,6 +15,7 @@ read, so other columns may have any name.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from itertools import chain, islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,21 +33,24 @@ from loadsieve.session import saved
 
 CAPACITY = 2048
 KNOWN_WORDS = 600_000
+#: Parts of plain letters (they stay letters in lower case and in any normal form) that are encoded as one text.
+TOGETHER = 1000
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 #: No token goes on from an ASCII letter to an ASCII character that is none. By byte: is it a lower-case letter, and may it follow one without being its token's?
 LETTERS = np.array([97 <= b <= 122 for b in range(256)])
 ENDS = np.array([b < 128 and not 97 <= b <= 122 and b not in (32, 9, 10, 11, 12, 13) for b in range(256)])
 
 
-def parts(text: str | None) -> list[bytes]:
-    """The parts of a text whose ids can be had one by one. The tokenizer lower-cases, but for its special tokens: a text that may hold one is only
-    split at white space."""
+def parted(text: str | None) -> bytes:
+    """The text with white space between the parts whose ids can be had one by one. The tokenizer lower-cases, but for its special tokens: a text that may
+    hold one is only split at white space."""
     raw = (text or "").encode()
     if b"<|" in raw:
-        return raw.split()
+        return raw
     raw = raw.lower()
     codes = np.frombuffer(raw, np.uint8)
     ends = np.flatnonzero(LETTERS[codes[:-1]] & ENDS[codes[1:]]) + 1
-    return (np.insert(codes, ends, 32).tobytes() if len(ends) else raw).split()
+    return np.insert(codes, ends, 32).tobytes() if len(ends) else raw
 
 
 class WordEncoder:
@@ -55,36 +60,62 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.marked = bool(mark)  # a tokenizer without that mark gets every part by itself
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers: defaultdict[str, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__  # a new part takes the next number
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
+    def learn(self, words: list[str]) -> None:
+        """Adds the ids of new parts, those of plain letters first. Such a part is one word of the tokenizer, which marks the last token of a word, so
+        many are encoded as one text and told apart by that mark: an encoding of its own costs a short part more than its tokens do."""
+        plain = np.fromiter(map(bool, map(PLAIN, words)), bool, len(words)) & self.marked
+        letters, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        texts = ["\n".join([words[i] for i in letters[at : at + TOGETHER].tolist()]) for at in range(0, len(letters), TOGETHER)]
+        ids, _ = self.encoded(texts)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(letters):  # another kind of tokenizer, whose words are not runs of letters
+            self.marked = False
+            return self.learn(words)
+        more, sizes_of_others = self.encoded([words[i] for i in others.tolist()])
+        sizes = np.empty(len(words), np.int64)
+        sizes[letters], sizes[others] = np.diff(ends, prepend=0), sizes_of_others
+        starts = np.empty(len(words), np.int64)
+        starts[letters] = ends - sizes[letters]
+        starts[others] = len(ids) + np.cumsum(sizes_of_others) - sizes_of_others
+        self.starts = np.r_[self.starts, len(self.ids) + starts]
         self.sizes = np.r_[self.sizes, sizes]
-        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))]
+        self.ids = np.r_[self.ids, ids, more]
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (with the end of the last)."""
         if len(self.numbers) > KNOWN_WORDS:
             self.forget()
-        split = [parts(t) for t in texts]
-        known, counts = len(self.numbers), [len(ws) for ws in split]
-        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
+        split = pc.ascii_split_whitespace(pa.array([parted(t) for t in texts], pa.binary()).cast(pa.string()))
+        words = split.flatten().dictionary_encode()  # only the distinct parts of a call become Python's
+        known, distinct = len(self.numbers), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
         if len(self.numbers) > known:
             self.learn(list(islice(self.numbers, known, None)))
+        found = numbers[words.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[found]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.starts[found] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        words = np.cumsum([0, *counts])
-        return ids, np.r_[0, ends][words]
+        return ids, np.r_[0, ends][split.offsets.to_numpy()]
 
 
 @functools.cache

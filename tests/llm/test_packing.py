@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from loadsieve.llm import QUERIES
-from loadsieve.llm.packing import best_fit, complete_bins, encoder, fillings, pack_pieces, sequences, token_pieces
+from loadsieve.llm.packing import WordEncoder, best_fit, complete_bins, encoder, fillings, pack_pieces, sequences, token_pieces
 
 
 def expected(doc_ids_texts):
@@ -108,3 +108,29 @@ def test_edges_and_sequences(edge, nothing):
     for r in rows:
         assert whole[r.sequence_id][r.offset : r.offset + r.length] == list(r.ids)
     assert pack_pieces(token_pieces(nothing)).count() == 0
+
+
+def test_plain_words_are_learned_together():
+    import public_tokenizers
+
+    own = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer, asked = own.tokenizer, []
+
+    class Asked:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    own.tokenizer = Asked()
+    draw = random.Random(7)
+    words = ["".join(draw.choice("abcdeéñß") for _ in range(draw.randrange(1, 12))) for _ in range(5000)]
+    texts = [" ".join(words[:3000]) + " 12.5 İx ", None, " ".join(words)]
+    for _ in range(2):
+        ids, firsts = own.encode(texts)
+        for i, t in enumerate(texts):
+            assert ids[firsts[i] : firsts[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+    assert len(asked) < 20
+    # a mark that does not tell words apart: every part by itself, same ids
+    own.forget()
+    own.last[:] = True
+    assert own.encode(texts)[0].tolist() == ids.tolist()
