@@ -17,3 +17,18 @@ def test_a_fixed_layout_is_written_as_files_of_bounded_size_from_shuffled_keys(s
     assert found.count() == len(rows)
     assert len(glob.glob(f"{tmp_path}/fixed/f=*")) == 12
     assert {os.path.splitext(f)[1] for f in glob.glob(f"{tmp_path}/fixed/f=*/part-*")} == {".gz"}
+
+
+def test_small_blocks_share_tasks(spark, tmp_path):
+    spark.range(40_000).select(F.concat(F.lit("line "), "id").alias("value")).repartition(4).write.text(f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def work():
+        blocks = spark.read.text(f"{tmp_path}/t").select("_metadata.file_path", "_metadata.file_block_start", F.spark_partition_id().alias("task"))
+        return blocks.agg(F.count_distinct("file_path", "file_block_start"), F.count_distinct("task"), F.count("*")).first()
+
+    blocks, tasks, lines = loads._in_small_blocks(spark, work, 1_000)
+    assert blocks > 400 and lines == 40_000
+    assert tasks <= 8 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None

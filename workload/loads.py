@@ -113,15 +113,21 @@ def broken_lines(spark, d) -> str:
     return folder
 
 
-def _in_small_blocks(spark, work):
-    """Run work with file blocks of 20,000 bytes, whose edges cut many records."""
-    size = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "20000")
+def _in_small_blocks(spark, work, size=20_000):
+    """Run work with file blocks of so many bytes, whose edges cut many records.
+
+    A block a task would make the tasks grow with the blocks, by the ten thousands, each with a start of its own; so blocks share
+    tasks, eight to a core, that stream through them.
+    """
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": 8 * spark.sparkContext.defaultParallelism}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return work()
     finally:
-        spark.conf.set(size, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def scan_line_breaks(spark, d):
