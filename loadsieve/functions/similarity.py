@@ -50,11 +50,19 @@ def characters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes.astype(np.int32).reshape(len(texts), width), lengths
 
 
-def signatures(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """How often each bucket of characters occurs in each text."""
-    there = np.arange(codes.shape[1]) < lengths[:, None]
-    place = np.arange(len(codes))[:, None] * SIGNATURE + codes % SIGNATURE
-    return np.bincount(place[there], minlength=len(codes) * SIGNATURE).reshape(len(codes), SIGNATURE).astype(np.int16)
+def signatures(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket of characters occurs in each text, and the texts' lengths. Nothing is padded, so one long text (a title
+    among cells) costs its own characters only; about TABLE_CELLS characters are held at once, or one text."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    counts = np.zeros((len(texts), SIGNATURE), np.int32)
+    ends, start = np.cumsum(lengths), 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] - lengths[start] + TABLE_CELLS, "right")))
+        codes = np.frombuffer("".join(texts[start:end]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        place = np.repeat(np.arange(end - start) * SIGNATURE, lengths[start:end]) + codes % SIGNATURE
+        counts[start:end] = np.bincount(place, minlength=(end - start) * SIGNATURE).reshape(-1, SIGNATURE)
+        start = end
+    return counts, lengths
 
 
 def longest_blocks(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,8 +147,7 @@ class Pairs:
     def bounds(self, left: list[int], right: list[int]) -> np.ndarray:
         """Upper bounds of the pairs' ratios, by the characters that they share."""
         out = []
-        (a, la), (b, lb) = characters(list(self.left)), characters(list(self.right))
-        of_a, of_b = signatures(a, la), signatures(b, lb)
+        (of_a, la), (of_b, lb) = signatures(list(self.left)), signatures(list(self.right))
         x, y = np.array(left, np.int64), np.array(right, np.int64)
         for i in range(0, len(x), 50_000):
             u, v = x[i : i + 50_000], y[i : i + 50_000]

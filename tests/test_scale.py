@@ -2,9 +2,11 @@
 
 import glob
 import os
+import tracemalloc
 
 from pyspark.sql import functions as F
 
+from loadsieve.functions import similarity as S
 from workload import loads
 
 
@@ -32,3 +34,29 @@ def test_small_blocks_share_tasks(spark, tmp_path):
     assert tasks <= 8 * spark.sparkContext.defaultParallelism
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+
+
+def test_one_long_text_does_not_widen_the_others():
+    texts = ["informe de pedidos " * 2000, *(f"key {i}" for i in range(2_000))]
+    tracemalloc.start()
+    counts, lengths = S.signatures(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000
+    for i in (0, 1, 1_999):
+        assert lengths[i] == len(texts[i])
+        assert counts[i].tolist() == [sum(ord(c) % 64 == b for c in texts[i]) for b in range(64)]
+
+
+def test_bounds_of_very_long_texts_do_not_overflow():
+    pairs = S.Pairs()
+    pairs.left["a" * 40_000] = pairs.right["a" * 40_000] = 0
+    assert pairs.bounds([0], [0]).tolist() == [1.0]
+
+
+def test_signatures_in_slices(monkeypatch):
+    texts = ["", "ab", "ñ€", "", "x" * 9, "cd"]
+    whole = S.signatures(texts)[0].tolist()
+    monkeypatch.setattr(S, "TABLE_CELLS", 3)
+    assert S.signatures(texts)[0].tolist() == whole
+    assert S.signatures([])[0].shape == (0, 64)

@@ -260,13 +260,7 @@ def header_beyond_block(spark, d):
     """Sheets whose title is longer than a file block, so that the header lies in a later block."""
     paths = _paths(spark)
     folder = sheets(spark, d, title="Informe de pedidos " * 2000)
-    size = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "9000")
-    try:
-        L.load_files(spark, folder, SHEET, paths, "first", LOAD_TIME)
-    finally:
-        spark.conf.set(size, before)
+    _in_small_blocks(spark, lambda: L.load_files(spark, folder, SHEET, paths, "first", LOAD_TIME), 9_000)
     return sheet_target(spark, paths)
 
 
