@@ -27,6 +27,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a staged load writes two partitions per task; open writers for both spare the sort
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # folders are listed by so many tasks at most, where Spark's own setting starts one for each of up to 10,000
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 

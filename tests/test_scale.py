@@ -60,3 +60,7 @@ def test_signatures_in_slices(monkeypatch):
     monkeypatch.setattr(S, "TABLE_CELLS", 3)
     assert S.signatures(texts)[0].tolist() == whole
     assert S.signatures([])[0].shape == (0, 64)
+
+
+def test_folders_are_listed_by_a_bounded_number_of_tasks(spark):
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 200
