@@ -19,6 +19,7 @@ from loadsieve.operators.cleaning import ERRORS_COLUMN, keep_rows
 from loadsieve.plans.spec import ColumnMeta, LoadSpec
 
 PARSED = "__parsed_"
+TOLD = "__told"
 
 # Whole-number ranges of the integer targets.
 _INTEGER_BITS = {"smallint": 16, "int": 32, "bigint": 64}
@@ -122,18 +123,22 @@ def validate(
     raw_as: str = "raw",
     absent: Mapping[str, Column] | None = None,
     carry: Sequence[str] = (),
+    plain: Mapping[str, Column] | None = None,
+    all_raw: bool = True,
 ) -> DataFrame:
     """Rows with typed inputs, the raw inputs as a struct, and the error text.
 
     `df` holds the cleaned input columns of the spec as text plus the columns named in `keep`.
     `absent` tells, per input, whether the source lacks that column (and its literal default
-    applies); columns in `carry` are there for such conditions only.
+    applies); columns in `carry` are there for such conditions only. `plain` holds, per input, values
+    that are known already, null where the text is still to be parsed. Without `all_raw`, rows
+    without errors come with a null struct.
     """
     rules = [compile_rule(m, spec) for m in spec.inputs]
     names = [m.name for m in spec.inputs]
-    parsed = df.select(
-        *keep, *carry, *names, *[r.parsed.alias(PARSED + r.meta.name) for r in rules if r.parsed is not None]
-    )
+    known = plain or {}
+    values = {r.meta.name: r.parsed if r.meta.name not in known else F.coalesce(known[r.meta.name], r.parsed) for r in rules if r.parsed is not None}
+    parsed = df.select(*keep, *carry, *names, *[v.alias(PARSED + n) for n, v in values.items()])
     checks = [(r.meta.name, r.flag) for r in rules if r.flag is not None]
     values = {r.meta.name: r.value for r in rules}
     for start, end, name in spec.date_order_rules:
@@ -146,8 +151,13 @@ def validate(
     typed = [
         (null_to_false(v) if n in spec.false_when_null else v).alias(n) for n, v in values.items()
     ]
-    raw = F.struct(*[F.col(n) for n in names]).alias(raw_as)
-    return parsed.select(*keep, raw, *typed, error_text(checks).alias(ERRORS_COLUMN))
+    raw = F.struct(*[F.col(n) for n in names])
+    if all_raw:
+        return parsed.select(*keep, raw.alias(raw_as), *typed, error_text(checks).alias(ERRORS_COLUMN))
+    # the text comes first, so that good rows need no struct at all
+    told = parsed.select("*", error_text(checks).alias(TOLD))
+    bad = F.col(TOLD) != ""
+    return told.select(*keep, F.when(bad, raw).alias(raw_as), *typed, F.col(TOLD).alias(ERRORS_COLUMN))
 
 
 def reasons(spec: LoadSpec) -> list[str]:

@@ -20,6 +20,7 @@ from loadsieve.operators.cleaning import (
     is_summary_row,
     keep_rows,
 )
+from loadsieve.operators.cells import PLAIN, clean_cells
 from loadsieve.operators.report import STATUS_OK, STATUS_PARTIAL, summary_columns, top_errors
 from loadsieve.operators.validate import annotate, validate
 from loadsieve.plans.spec import LoadSpec
@@ -34,7 +35,7 @@ LAYOUT = "__layout"
 class MappedFiles:
     """Rows of a set of files under target names, and how the names were found.
 
-    The reports of a load are made when asked for: target columns no header maps to (with what
+    `lines` holds the uncut lines of the rows with their layouts, where cells are cut at one `delimiter` of a byte. The reports of a load are made when asked for: target columns no header maps to (with what
     their defaults say), counts per file, hints for the missing columns, and whether a file's
     mapping may go unreviewed.
     """
@@ -45,6 +46,14 @@ class MappedFiles:
     targets: DataFrame
     spec: LoadSpec
     approved: DataFrame | None = None
+    lines: DataFrame | None = None
+    delimiter: str = "|"
+
+    def staged(self, all_raw: bool = True) -> DataFrame:
+        """Typed rows with raw text and reasons."""
+        if self.lines is None:
+            return stage(self.rows, self.spec, all_raw=all_raw)
+        return stage_lines(self.lines, self.spec, self.delimiter, all_raw)
 
     @property
     def near_repeats(self) -> DataFrame:
@@ -214,7 +223,8 @@ def map_files(
     cells = body.withColumn("__cells", cells_in(F.col("line")))
     cell = lambda i: F.get("__cells", F.get(LAYOUT, F.lit(i)) - 1)
     rows = cells.select("file", "row_no", LAYOUT, *[cell(i).alias(n) for i, n in enumerate(names)])
-    return MappedFiles(rows, mapping, header_rows, targets, spec)
+    uncut = None if multiline or quoted or len(delimiter) != 1 or not delimiter.isascii() else body
+    return MappedFiles(rows, mapping, header_rows, targets, spec, lines=uncut, delimiter=delimiter)
 
 
 def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFrame:
@@ -236,15 +246,32 @@ def prepare(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> DataFr
     return keep_rows(cleaned, wanted, [F.col(c) for c in cleaned.columns])
 
 
-def stage(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ("file", "row_no")) -> DataFrame:
-    """Typed rows with raw text and reasons: one narrow pass over the source."""
+def stage(rows: DataFrame, spec: LoadSpec, keep: Sequence[str] = ("file", "row_no"), all_raw: bool = True) -> DataFrame:
+    """Typed rows with raw text and reasons: one narrow pass over the source.
+
+    Without `all_raw`, rows without errors have no raw text."""
     carry = [LAYOUT] if LAYOUT in rows.columns else []
     have = set(rows.columns)
     if carry:
         absent = {m.name: F.get(LAYOUT, F.lit(i)).isNull() for i, m in enumerate(spec.inputs)}
     else:
         absent = {m.name: F.lit(True) for m in spec.inputs if m.name not in have}
-    return validate(prepare(rows, spec, [*keep, *carry]), spec, keep, absent=absent, carry=carry)
+    return validate(prepare(rows, spec, [*keep, *carry]), spec, keep, absent=absent, carry=carry, all_raw=all_raw)
+
+
+def stage_lines(lines: DataFrame, spec: LoadSpec, delimiter: str, all_raw: bool = True) -> DataFrame:
+    """`stage` of lines (file, row_no, layout, line) whose cells are cut and cleaned in batches."""
+    names = [m.name for m in spec.inputs]
+    numbers = [m.name for m in spec.inputs if m.family == "number"]
+    # only defaults ask for the layout of a row
+    carry = [LAYOUT] if any(m.column_default for m in spec.inputs) else []
+    rows = clean_cells(lines, names, numbers, LAYOUT, delimiter, spec.null_tokens, bool(carry))
+    if spec.summary_columns:
+        # nothing lies below that the condition could be pushed into
+        rows = rows.where(~is_summary_row(*[F.col(n) for n in spec.summary_columns]))
+    absent = {m.name: F.get(LAYOUT, F.lit(i)).isNull() for i, m in enumerate(spec.inputs)} if carry else {}
+    plain = {n: F.col(PLAIN + n) for n in numbers}
+    return validate(rows, spec, ("file", "row_no"), absent=absent, carry=carry, plain=plain, all_raw=all_raw)
 
 
 def final_columns(staged: DataFrame, spec: LoadSpec, load_time: datetime) -> DataFrame:
@@ -267,9 +294,12 @@ def load_rows(
     pre_action: str | DeleteWhere | None = None,
     source: str = "",
     annotated: bool = False,
+    staged: DataFrame | None = None,
 ) -> LoadResult:
     """Stage once, then write rejects and loadable rows from the staged copy.
 
+    `staged` takes the place of staging the rows here (stage_lines does the same for lines of files).
+
     Every output of a load is its own folder and written whole, so the same load_id may run again,
     with the same rows or others, and leaves its last outcome only.
 
@@ -278,9 +308,9 @@ def load_rows(
     """
     bad = F.col(ERRORS_COLUMN) != ""
     counts = Observation(f"load {load_id}")
-    staged = stage(rows, spec, keep).observe(counts, *summary_columns())
     # loadable rows need no raw text any more, but for an annotated copy of the source
-    slim = staged.withColumns({"raw": F.when(bad | F.lit(annotated), F.col("raw")), "rejected": bad})
+    staged = stage(rows, spec, keep, all_raw=annotated) if staged is None else staged
+    slim = staged.withColumn("rejected", bad).observe(counts, *summary_columns())
     out = commits.Attempt(spark, paths.log, load_id) if paths.log else sinks.InPlace(spark, load_id)
     folder = out.write(slim, paths.staged, "staged", ["rejected"])
     seen = counts.get
@@ -449,7 +479,7 @@ def load_files(
         sinks.write_load(mapped.mapping.coalesce(1), paths.review, load_id)
     source = path if isinstance(path, str) else ", ".join(path)
     done = load_rows(
-        spark, mapped.rows, spec, paths, load_id, load_time, pre_action=pre_action, source=source, annotated=annotated
+        spark, mapped.rows, spec, paths, load_id, load_time, pre_action=pre_action, source=source, annotated=annotated, staged=mapped.staged(annotated)
     )
     return done, mapped
 

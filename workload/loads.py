@@ -119,7 +119,10 @@ def _in_small_blocks(spark, work, size=20_000):
     A block a task would make the tasks grow with the blocks, by the ten thousands, each with a start of its own; so blocks share
     tasks, eight to a core, that stream through them.
     """
-    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": 8 * spark.sparkContext.defaultParallelism}
+    return _with_settings(spark, {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": 8 * spark.sparkContext.defaultParallelism}, work)
+
+
+def _with_settings(spark, settings, work):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
@@ -306,6 +309,10 @@ def load_learns_mapping(spark, d):
 FIXED = fixed_schema_spec("grupo")
 # Rows of a fixed-layout file: lines by blocks of 250,000 keys, some 60 MB of text.
 FIXED_FILE_OF = "CAST(floor(k / 250000) AS BIGINT)"
+# Bytes of such files, which are not split, that are read by a task: a file is most often larger.
+FIXED_BLOCK = 4 << 20
+# Tasks at most that write such files.
+FIXED_WRITERS = 10_000
 
 
 def fixed_cells() -> dict[str, str]:
@@ -331,12 +338,16 @@ def load_fixed_files(spark, d):
     head = keyed.select(F.lit(-1).cast("long").alias("k"), "f", F.lit(True).alias("head")).distinct()
     value = F.when(F.col("head"), "|".join(keys[n] for n in names)).otherwise(F.concat_ws("|", *[F.expr(cells[n]) for n in names]))
     folder = shared_dir(spark, "fixed")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = keyed.unionByName(head).repartition(tasks, "f").sortWithinPartitions("f", "k")
-    files.select("f", value.alias("value")).write.partitionBy("f").option("compression", "gzip").text(folder)
+    tasks = min(max(1, keyed.select(F.count_distinct("f")).first()[0]), FIXED_WRITERS)
+    files = keyed.unionByName(head).repartitionByRange(tasks, "f").sortWithinPartitions("f", "k").select("f", value.alias("value"))
+    # files follow one another in a task: open writers would only bring a sort of the wide lines, once there are more files than writers
+    writer = files.write.partitionBy("f").options(compression="gzip", **{"zlib.compress.level": "THREE"})
+    _with_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": 0}, lambda: writer.text(folder))
     paths = _paths(spark)
     spec = replace(FIXED, header_row=1)
-    L.load_files(spark, folder, spec, paths, "first", LOAD_TIME, aliases=header_aliases(spark, "grupo"))
+    aliases = header_aliases(spark, "grupo")
+    # a packed file is several times its size when it is read, so tasks do not take as many bytes of them as of others
+    _in_small_blocks(spark, lambda: L.load_files(spark, folder, spec, paths, "first", LOAD_TIME, aliases=aliases), FIXED_BLOCK)
     columns = ", ".join(f"{c.name} {c.spark_type}" for c in spec.insertable)
     return spark.read.schema(columns + ", load_id STRING").parquet(paths.target).drop("load_id")
 
